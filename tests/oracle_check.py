@@ -1,0 +1,105 @@
+"""Run registered Spark queries and their DuckDB oracle side by side.
+
+Usage: python tests/oracle_check.py [sf_dir] [query ...]
+Prints one line per query: rows, schema match, value match.
+"""
+
+from __future__ import annotations
+
+import math
+import os
+import sys
+import time
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import duckdb  # noqa: E402
+
+from pmflow.sources.fixtures import TABLES  # noqa: E402
+
+
+def duck(sf_dir: str):
+    con = duckdb.connect()
+    for t in TABLES:
+        p = f"{sf_dir}/{t}.parquet"
+        if os.path.exists(p):
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return con
+
+
+def _norm(v):
+    if v is None:
+        return None
+    if isinstance(v, float):
+        if math.isnan(v):
+            return None
+        return float(f"{v:.10g}")
+    if hasattr(v, "isoformat"):
+        return v.isoformat()
+    if isinstance(v, (list, tuple)):
+        return tuple(_norm(x) for x in v)
+    if hasattr(v, "tolist"):
+        return _norm(v.tolist())
+    if type(v).__name__ == "Decimal":
+        return float(f"{float(v):.10g}")
+    return v
+
+
+def rows_of(cols, records):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    out = [tuple(_norm(r[i]) for i in order) for r in records]
+    return sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
+
+
+def compare(spark, con, name, fn, sql, sf_dir):
+    t0 = time.time()
+    sdf = fn(spark, sf_dir)
+    srows = [tuple(r) for r in sdf.collect()]
+    scols = sdf.columns
+    t1 = time.time()
+    if sql is None:
+        return dict(name=name, rows=len(srows), oracle=None, secs=round(t1 - t0, 2))
+    cur = con.execute(sql)
+    dcols = [d[0] for d in cur.description]
+    drows = cur.fetchall()
+    res = dict(name=name, rows=len(srows), oracle_rows=len(drows), secs=round(t1 - t0, 2),
+               cols_match=sorted(scols) == sorted(dcols))
+    if not res["cols_match"]:
+        res["spark_cols"] = scols
+        res["oracle_cols"] = dcols
+        return res
+    a = rows_of(scols, srows)
+    b = rows_of(dcols, drows)
+    res["values_match"] = a == b
+    if not res["values_match"]:
+        diff_a = [r for r in a if r not in set(b)][:3]
+        diff_b = [r for r in b if r not in set(a)][:3]
+        res["spark_only"] = diff_a
+        res["oracle_only"] = diff_b
+    return res
+
+
+def main(argv):
+    sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
+    names = argv[2:]
+    from pmflow.session import get_spark
+    import __spark_entry__ as entry
+    spark = get_spark("local[8]", shuffle_partitions=8)
+    q = entry.queries()
+    o = entry.oracle_sql()
+    con = duck(sf_dir)
+    bad = 0
+    for name in (names or list(q)):
+        try:
+            r = compare(spark, con, name, q[name], o.get(name), sf_dir)
+        except Exception as e:  # report and go on
+            r = dict(name=name, error=repr(e)[:800])
+        ok = r.get("values_match", r.get("oracle") is None and "error" not in r)
+        bad += 0 if ok else 1
+        print(("OK  " if ok else "BAD ") + str(r), flush=True)
+    print(f"{len(names or q) - bad} ok, {bad} bad")
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv))
