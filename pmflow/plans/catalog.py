@@ -50,7 +50,11 @@ def facts_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # Oracle building blocks (DuckDB). The fixture views come in as CTEs.
-_TOPIC_SQL = topic_case_sql("regexp_replace(lower(trim(category_raw, ' \t\n\r')), '[\\s_]', '-', 'g')")
+def _topic_sql(col: str) -> str:
+    return topic_case_sql(f"regexp_replace(lower(trim({col}, ' \t\n\r')), '[\\s_]', '-', 'g')")
+
+
+_TOPIC_SQL = _topic_sql("category_raw")
 _ORACLE_DIM = f"""dim AS (
   SELECT market_id, token1, token2, category_raw,
     CASE WHEN category_raw IS NULL OR trim(category_raw, ' \t\n\r') = '' THEN 'other' ELSE {_TOPIC_SQL} END
@@ -229,3 +233,353 @@ def q_global_daily_unique(spark, sf_dir):
     t = Tables(spark, sf_dir)
     g = agg.global_daily(facts_of(spark, sf_dir), _dim(t), unique_wallets="exact")
     return g.withColumn("stat_date", F.col("stat_date").cast("string"))
+
+
+# ----------------------------------------------------------------- helpers for text output
+
+def ts_text(c) -> "F.Column":
+    """TIMESTAMP -> 'YYYY-MM-DD HH:MM:SS' (both engines print it the same)."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+def _duck_ts(unix_sql: str) -> str:
+    return f"strftime(epoch_ms(CAST({unix_sql} AS BIGINT) * 1000), '%Y-%m-%d %H:%M:%S')"
+
+
+_TOTAL_ORDER_SQL = ("block_number, log_index, transaction_hash, order_hash, maker, taker, maker_asset_id, "
+                    "taker_asset_id, maker_amount, taker_amount")
+
+# ----------------------------------------------------------------- staged / keyed facts
+
+from pmflow.operators import wallets as wl  # noqa: E402
+from pmflow.operators import activities as act  # noqa: E402
+from pmflow.operators import enrich as en  # noqa: E402
+
+
+@query("staging_orders", oracle(
+    f"""SELECT timestamp_i64, maker, maker_asset_id, maker_amount_filled, taker, taker_asset_id,
+      taker_amount_filled, transaction_hash FROM (
+      SELECT *, row_number() OVER (PARTITION BY transaction_hash, maker, taker, timestamp_i64, maker_asset_id,
+        taker_asset_id ORDER BY {_TOTAL_ORDER_SQL}) AS rn
+      FROM (SELECT tr.*, coalesce(bt.ts_unix, 0) AS timestamp_i64, maker_amount AS maker_amount_filled,
+              taker_amount AS taker_amount_filled
+            FROM fx_trades tr LEFT JOIN bt USING (block_number)
+            WHERE maker <> '' AND taker <> '' AND transaction_hash <> '') s) WHERE rn = 1""",
+    ("fx_blocks", "fx_trades"), [_ORACLE_BT]))
+def q_staging_orders(spark, sf_dir):
+    t, bt, _ = _inputs(spark, sf_dir)
+    return tr.build_staging(t.fx_trades, bt).select(*tr.STAGING_COLUMNS)
+
+
+_KEYED_OUT = ("ts_unix, market_id, maker, taker, nonusdc_side, maker_direction, taker_direction, price, "
+              "usd_amount, token_amount, transaction_hash, source")
+
+
+def _keyed_sql(src: str) -> str:
+    """Keyed derivation + (tx, maker, taker, ts) first-wins over a staged CTE ``src``
+    with columns ts_unix, maker, taker, transaction_hash, asset ids, amounts and the order columns."""
+    return f"""km AS (
+  SELECT k.*, tm.market_id, tm.side, TRY_CAST(maker_amount AS DECIMAL(38,6)) AS ma,
+    TRY_CAST(taker_amount AS DECIMAL(38,6)) AS ta
+  FROM (SELECT *, CASE WHEN maker_asset_id <> '0' THEN maker_asset_id ELSE taker_asset_id END AS asset_id
+        FROM {src}) k JOIN tm USING (asset_id)),
+kc AS (
+  SELECT *, CASE WHEN taker_asset_id = '0' THEN ma ELSE ta END AS denom,
+    CASE WHEN taker_asset_id = '0' THEN ta ELSE ma END AS numer
+  FROM km WHERE ma IS NOT NULL AND ta IS NOT NULL),
+kf AS (
+  SELECT ts_unix, market_id, maker, taker,
+    CASE WHEN maker_asset_id = '0' AND taker_asset_id = '0' THEN 'USDC' ELSE side END AS nonusdc_side,
+    CASE WHEN taker_asset_id = '0' THEN 'SELL' ELSE 'BUY' END AS maker_direction,
+    CASE WHEN taker_asset_id = '0' THEN 'BUY' ELSE 'SELL' END AS taker_direction,
+    CAST(numer AS DOUBLE) / CAST(denom AS DOUBLE) AS price,
+    CAST(CASE WHEN taker_asset_id = '0' THEN ta ELSE ma END AS DOUBLE) / 1000000.0 AS usd_amount,
+    CAST(CASE WHEN taker_asset_id = '0' THEN ma ELSE ta END AS DOUBLE) / 1000000.0 AS token_amount,
+    transaction_hash, 'polymarket_pipeline' AS source, {_TOTAL_ORDER_SQL.replace('maker, taker, ', '')
+                                                         .replace('transaction_hash, ', '')
+                                                         .replace('maker_asset_id, taker_asset_id, ', '')}
+    , maker_asset_id, taker_asset_id
+  FROM kc WHERE denom <> 0),
+keyed AS (
+  SELECT {_KEYED_OUT} FROM (
+    SELECT *, row_number() OVER (PARTITION BY transaction_hash, maker, taker, ts_unix
+      ORDER BY {_TOTAL_ORDER_SQL}) AS rn FROM kf) WHERE rn = 1)"""
+
+
+@query("fact_trades_keyed", oracle(
+    f"SELECT {_KEYED_OUT} FROM keyed", _FX_TRADES,
+    [_ORACLE_BT, _ORACLE_TM, """direct AS (
+  SELECT tr.*, bt.ts_unix FROM fx_trades tr JOIN bt USING (block_number)
+  WHERE bt.ts_unix > 0 AND maker <> '' AND taker <> '' AND transaction_hash <> '')""", _keyed_sql("direct")]))
+def q_fact_trades_keyed(spark, sf_dir):
+    t, bt, tm = _inputs(spark, sf_dir)
+    k = tr.build_fact_trades_direct(t.fx_trades, bt, tm)
+    return k.withColumn("usd_amount", F.col("usd_amount").cast("double")) \
+        .withColumn("token_amount", F.col("token_amount").cast("double"))
+
+
+@query("fact_trades_staged", oracle(
+    f"SELECT {_KEYED_OUT} FROM keyed", _FX_TRADES,
+    [_ORACLE_BT, _ORACLE_TM, f"""staged AS (
+  SELECT * EXCLUDE (rn) FROM (
+    SELECT s.*, row_number() OVER (PARTITION BY transaction_hash, maker, taker, ts_unix, maker_asset_id,
+      taker_asset_id ORDER BY {_TOTAL_ORDER_SQL}) AS rn
+    FROM (SELECT tr.*, coalesce(bt.ts_unix, 0) AS ts_unix FROM fx_trades tr LEFT JOIN bt USING (block_number)
+          WHERE maker <> '' AND taker <> '' AND transaction_hash <> '') s) WHERE rn = 1)""",
+     _keyed_sql("staged")]))
+def q_fact_trades_staged(spark, sf_dir):
+    """D4 then D5: the staged path (unresolved block time kept as 0)."""
+    t, bt, tm = _inputs(spark, sf_dir)
+    k = tr.build_fact_trades_keyed(tr.build_staging(t.fx_trades, bt), tm)
+    return k.withColumn("usd_amount", F.col("usd_amount").cast("double")) \
+        .withColumn("token_amount", F.col("token_amount").cast("double"))
+
+
+# ----------------------------------------------------------------- wallets
+
+_ORACLE_WALLETS = """wa AS (
+  SELECT lower(maker) AS a, ts_unix FROM facts WHERE ts_unix > 0 AND maker <> ''
+  UNION ALL SELECT lower(taker) AS a, ts_unix FROM facts WHERE ts_unix > 0 AND taker <> ''),
+wl AS (
+  SELECT a AS proxy_address, min(ts_unix) AS f, max(ts_unix) AS l FROM wa
+  WHERE regexp_full_match(a, '0x[a-fA-F0-9]{40}') GROUP BY a)"""
+_WALLET_OUT = (f"SELECT proxy_address, {_duck_ts('f')} AS first_seen_at, {_duck_ts('l')} AS last_seen_at FROM wl")
+WALLET_SPLIT = 852076800  # 1997-01-01: facts before it are the stored wallets, the rest arrive
+
+
+def _wallets_text(w):
+    return w.select("proxy_address", ts_text("first_seen_at").alias("first_seen_at"),
+                    ts_text("last_seen_at").alias("last_seen_at"))
+
+
+def wallets_of(spark, sf_dir):
+    w, _ = wl.merge_wallets(None, wl.wallet_activity(facts_of(spark, sf_dir)))
+    return w
+
+
+@query("wallet_first_last", oracle(_WALLET_OUT, _FX_TRADES, _facts_ctes(_ORACLE_WALLETS)))
+def q_wallet_first_last(spark, sf_dir):
+    return _wallets_text(wallets_of(spark, sf_dir))
+
+
+@query("wallet_merge", oracle(_WALLET_OUT, _FX_TRADES, _facts_ctes(_ORACLE_WALLETS)))
+def q_wallet_merge(spark, sf_dir):
+    """Wallets stored from older facts, merged with the newer facts."""
+    f = facts_of(spark, sf_dir)
+    stored, _ = wl.merge_wallets(None, wl.wallet_activity(f.filter(F.col("ts_unix") < WALLET_SPLIT)))
+    merged, _ = wl.merge_wallets(stored, wl.wallet_activity(f.filter(F.col("ts_unix") >= WALLET_SPLIT)))
+    return _wallets_text(merged)
+
+
+@query("wallet_quarantine", oracle(
+    """SELECT address, count(*) AS n FROM (
+      SELECT maker AS address FROM fx_trades UNION ALL SELECT taker AS address FROM fx_trades)
+    WHERE NOT regexp_full_match(address, '0x[a-fA-F0-9]{40}') GROUP BY address""", ("fx_trades",), []))
+def q_wallet_quarantine(spark, sf_dir):
+    return wl.address_check(Tables(spark, sf_dir).fx_trades, ["maker", "taker"])
+
+
+_ORACLE_TARGETS = """tg AS (
+  SELECT lower(trim(proxy_address)) AS proxy_address,
+    row_number() OVER (ORDER BY l DESC, proxy_address) AS rk
+  FROM wl ORDER BY l DESC, proxy_address LIMIT 200)"""
+
+
+@query("snapshot_targets", oracle("SELECT proxy_address FROM tg", _FX_TRADES,
+                                  _facts_ctes(_ORACLE_WALLETS, _ORACLE_TARGETS)))
+def q_snapshot_targets(spark, sf_dir):
+    return wl.snapshot_targets(wallets_of(spark, sf_dir), n=200)
+
+
+_ORACLE_SNAP = """sides AS (
+  SELECT tg.proxy_address, tg.rk,
+    (SELECT max(body) FROM fx_wallet_stats s WHERE s.proxy_address = tg.proxy_address AND json_valid(s.body))
+      AS user_stats_json,
+    (SELECT max(body) FROM fx_wallet_pnl s WHERE s.proxy_address = tg.proxy_address AND json_valid(s.body))
+      AS user_pnl_json,
+    (SELECT max(body) FROM fx_wallet_profile s WHERE s.proxy_address = tg.proxy_address AND json_valid(s.body))
+      AS gamma_profile_json
+  FROM tg)"""
+_SNAP_FX = (*_FX_TRADES, "fx_wallet_stats", "fx_wallet_pnl", "fx_wallet_profile")
+
+
+def _snapshots(spark, sf_dir, as_of, n):
+    t = Tables(spark, sf_dir)
+    targets = wl.snapshot_targets(wallets_of(spark, sf_dir), n=n)
+    return wl.build_snapshots(targets, t.fx_wallet_stats, t.fx_wallet_pnl, t.fx_wallet_profile, as_of=as_of)
+
+
+def _snap_text(s):
+    return s.withColumn("fetched_at", ts_text("fetched_at"))
+
+
+@query("snapshot_rows", oracle(
+    f"SELECT proxy_address, {_duck_ts(str(AS_OF))} AS fetched_at, user_stats_json, user_pnl_json, "
+    "gamma_profile_json FROM sides", _SNAP_FX, _facts_ctes(_ORACLE_WALLETS, _ORACLE_TARGETS, _ORACLE_SNAP)))
+def q_snapshot_rows(spark, sf_dir):
+    return _snap_text(_snapshots(spark, sf_dir, AS_OF, 200))
+
+
+@query("snapshot_latest", oracle(
+    f"""SELECT proxy_address,
+      CASE WHEN rk <= 100 THEN {_duck_ts(str(AS_OF))} ELSE {_duck_ts(str(AS_OF - 86400))} END AS fetched_at,
+      user_stats_json, user_pnl_json, gamma_profile_json FROM sides""",
+    _SNAP_FX, _facts_ctes(_ORACLE_WALLETS, _ORACLE_TARGETS, _ORACLE_SNAP)))
+def q_snapshot_latest(spark, sf_dir):
+    """Two appended runs (top 200 yesterday, top 100 today) -> latest per wallet."""
+    runs = _snapshots(spark, sf_dir, AS_OF - 86400, 200).unionByName(_snapshots(spark, sf_dir, AS_OF, 100))
+    return _snap_text(wl.latest_snapshots(runs))
+
+
+# ----------------------------------------------------------------- markets
+
+_MK_OUT = ["market_id", "condition_id", "market_slug", "question", "answer1", "answer2", "neg_risk", "token1",
+           "token2", "volume", "ticker", "closed_time", "created_at", "fetched_at"]
+
+
+def _markets_text(df):
+    return df.select(*[ts_text(c).alias(c) if c in ("closed_time", "created_at", "fetched_at")
+                       else F.col(c).cast("double").alias(c) if c == "volume" else F.col(c) for c in _MK_OUT])
+
+
+def _jstr(doc, path):
+    return f"CASE WHEN json_type({doc}, '{path}') = 'VARCHAR' THEN json_extract_string({doc}, '{path}') END"
+
+
+def _jbool(doc, path):
+    return f"CASE WHEN json_type({doc}, '{path}') = 'BOOLEAN' THEN CAST(json_extract({doc}, '{path}') AS BOOLEAN) END"
+
+
+def _jarr(doc, path, i):
+    return (f"CASE json_type({doc}, '{path}') WHEN 'ARRAY' THEN json_extract_string({doc}, '{path}[{i}]') "
+            f"WHEN 'VARCHAR' THEN json_extract_string(json_extract_string({doc}, '{path}'), '$[{i}]') END")
+
+
+_ORACLE_MK_JSON = f"""mj AS (
+  SELECT {_jstr('doc', '$.id')} AS market_id,
+    coalesce({_jstr('doc', '$.conditionId')}, '') AS condition_id,
+    coalesce({_jstr('doc', '$.slug')}, '') AS market_slug,
+    coalesce({_jstr('doc', '$.question')}, {_jstr('doc', '$.title')}, '') AS question,
+    coalesce({_jarr('doc', '$.outcomes', 0)}, '') AS answer1,
+    coalesce({_jarr('doc', '$.outcomes', 1)}, '') AS answer2,
+    coalesce({_jbool('doc', '$.negRiskAugmented')}, false) OR coalesce({_jbool('doc', '$.negRiskOther')}, false)
+      AS neg_risk,
+    coalesce({_jarr('doc', '$.clobTokenIds', 0)}, '') AS token1,
+    coalesce({_jarr('doc', '$.clobTokenIds', 1)}, '') AS token2,
+    CAST(TRY_CAST(json_extract_string(doc, '$.volume') AS DECIMAL(38,9)) AS DOUBLE) AS volume,
+    coalesce({_jstr('doc', '$.events[0].ticker')}, '') AS ticker,
+    CAST(NULL AS VARCHAR) AS closed_time,
+    strftime(strptime({_jstr('doc', '$.createdAt')}, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d %H:%M:%S') AS created_at,
+    {_duck_ts(str(AS_OF))} AS fetched_at
+  FROM fx_markets_json
+  WHERE coalesce({_jstr('doc', '$.id')}, '') <> '')"""
+
+_ORACLE_MK_PQ = f"""mp AS (
+  SELECT market_id, condition_id, coalesce(nullif(slug, ''), nullif(market_slug, ''), '') AS market_slug,
+    title AS question, json_extract_string(outcomes, '$[0]') AS answer1, json_extract_string(outcomes, '$[1]') AS answer2,
+    coalesce(neg_risk, false) AS neg_risk,
+    json_extract_string(clob_token_ids, '$[0]') AS token1, json_extract_string(clob_token_ids, '$[1]') AS token2,
+    CAST(CAST(CAST(volume AS DOUBLE) AS DECIMAL(38,9)) AS DOUBLE) AS volume, '' AS ticker,
+    CAST(NULL AS VARCHAR) AS closed_time,
+    strftime(strptime(created_at, '%Y-%m-%dT%H:%M:%SZ'), '%Y-%m-%d %H:%M:%S') AS created_at,
+    {_duck_ts(str(AS_OF))} AS fetched_at
+  FROM fx_markets_parquet)"""
+
+
+@query("markets_from_json", oracle("SELECT * FROM mj", ("fx_markets_json",), [_ORACLE_MK_JSON]))
+def q_markets_from_json(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return _markets_text(mk.normalize_markets_json(t.fx_markets_json, as_of=AS_OF))
+
+
+@query("markets_from_parquet", oracle("SELECT * FROM mp", ("fx_markets_parquet",), [_ORACLE_MK_PQ]))
+def q_markets_from_parquet(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return _markets_text(mk.normalize_markets_parquet(t.fx_markets_parquet, as_of=AS_OF))
+
+
+@query("markets_upsert", oracle(
+    """SELECT coalesce(mj.market_id, e.market_id) AS market_id,
+      CASE WHEN mj.market_id IS NOT NULL THEN mj.question ELSE e.question END AS question,
+      CASE WHEN mj.market_id IS NOT NULL THEN mj.market_slug ELSE e.market_slug END AS market_slug,
+      CASE WHEN mj.market_id IS NOT NULL THEN mj.ticker ELSE e.ticker END AS ticker,
+      CASE WHEN mj.market_id IS NOT NULL THEN mj.volume ELSE e.volume END AS volume,
+      CASE WHEN mj.market_id IS NOT NULL THEN mj.neg_risk ELSE e.neg_risk END AS neg_risk,
+      e.category_raw, e.topic_primary
+    FROM (SELECT mp.*, dim.category_raw, dim.topic_primary FROM mp JOIN dim USING (market_id)) e
+    FULL OUTER JOIN mj ON e.market_id = mj.market_id""",
+    ("fx_markets", "fx_markets_json", "fx_markets_parquet"), [_ORACLE_DIM, _ORACLE_MK_JSON, _ORACLE_MK_PQ]))
+def q_markets_upsert(spark, sf_dir):
+    """Stored markets (from parquet, already categorized) upserted with the JSON feed."""
+    t = Tables(spark, sf_dir)
+    stored = mk.empty_dim_columns(mk.normalize_markets_parquet(t.fx_markets_parquet, as_of=AS_OF - 86400))
+    cats = _dim(t).select("market_id", F.col("category_raw").alias("_c"), F.col("topic_primary").alias("_t"))
+    stored = stored.join(cats, "market_id", "left") \
+        .withColumn("category_raw", F.col("_c")).withColumn("topic_primary", F.col("_t")).drop("_c", "_t")
+    up = mk.upsert_markets(stored, mk.normalize_markets_json(t.fx_markets_json, as_of=AS_OF))
+    return up.select("market_id", "question", "market_slug", "ticker", F.col("volume").cast("double").alias("volume"),
+                     "neg_risk", "category_raw", "topic_primary")
+
+
+# ----------------------------------------------------------------- enrichment
+
+def _enrich_dim(t: Tables):
+    s = t.fx_enrich_state
+    return s.select("market_id", F.lit(None).cast("string").alias("category_raw"),
+                    F.lit(None).cast("string").alias("topic_primary"),
+                    F.timestamp_seconds("fetched_unix").alias("enrich_gamma_fetched_at"),
+                    F.timestamp_seconds("failed_unix").alias("enrich_gamma_failed_at"),
+                    F.col("attempts").alias("enrich_gamma_attempts"),
+                    F.col("last_error").alias("enrich_gamma_last_error"))
+
+
+ENRICH_CURSOR = "1000"
+
+
+@query("enrichment_candidates", oracle(
+    f"""SELECT market_id, market_id <= '{ENRICH_CURSOR}' AS wrapped FROM fx_enrich_state
+    WHERE fetched_unix IS NULL
+      AND (failed_unix IS NULL OR failed_unix < {AS_OF} - 300 * (CAST(1 AS BIGINT) << least(attempts, 10)))""",
+    ("fx_enrich_state",), []))
+def q_enrichment_candidates(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return en.enrichment_candidates(_enrich_dim(t), as_of=AS_OF, cursor=ENRICH_CURSOR, limit=None)
+
+
+def _err_sql():
+    reasons = " ".join(f"WHEN {k} THEN '{v}'" for k, v in en.HTTP_REASONS.items())
+    return (f"CASE WHEN r.http_status IS NULL THEN 'request error: ' || coalesce(r.error, '') "
+            f"WHEN r.http_status = 429 THEN '429 too many requests' "
+            f"ELSE 'http status ' || CAST(r.http_status AS VARCHAR) || ' ' || "
+            f"CASE r.http_status {reasons} ELSE '<unknown status code>' END END")
+
+
+_ORACLE_ENRICH = f"""ej AS (
+  SELECT s.*, r.market_id IS NOT NULL AS has,
+    coalesce(r.http_status BETWEEN 200 AND 299, false) AS ok,
+    CASE WHEN json_valid(r.body) AND json_type(r.body, '$.category') = 'VARCHAR'
+      THEN json_extract_string(r.body, '$.category') END AS cat,
+    {_err_sql()} AS err
+  FROM fx_enrich_state s LEFT JOIN fx_enrich_responses r USING (market_id))"""
+
+
+@query("enrichment_apply", oracle(
+    f"""SELECT market_id,
+      CASE WHEN ok THEN cat END AS category_raw,
+      CASE WHEN ok THEN (CASE WHEN cat IS NULL OR trim(cat, ' \t\n\r') = '' THEN 'other' ELSE {_topic_sql('cat')} END)
+        END AS topic_primary,
+      CASE WHEN ok THEN {_duck_ts(str(AS_OF))} ELSE {_duck_ts('fetched_unix')} END AS fetched_at,
+      CASE WHEN ok THEN NULL WHEN has AND fetched_unix IS NULL THEN {_duck_ts(str(AS_OF))}
+        ELSE {_duck_ts('failed_unix')} END AS failed_at,
+      CASE WHEN has AND NOT ok AND fetched_unix IS NULL THEN attempts + 1 ELSE attempts END AS attempts,
+      CASE WHEN ok THEN NULL WHEN has AND fetched_unix IS NULL THEN err ELSE last_error END AS last_error
+    FROM ej""", ("fx_enrich_state", "fx_enrich_responses"), [_ORACLE_ENRICH]))
+def q_enrichment_apply(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    out = en.apply_enrichment(_enrich_dim(t), t.fx_enrich_responses, as_of=AS_OF)
+    return out.select("market_id", "category_raw", "topic_primary",
+                      ts_text("enrich_gamma_fetched_at").alias("fetched_at"),
+                      ts_text("enrich_gamma_failed_at").alias("failed_at"),
+                      F.col("enrich_gamma_attempts").alias("attempts"),
+                      F.col("enrich_gamma_last_error").alias("last_error"))

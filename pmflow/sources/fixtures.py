@@ -74,6 +74,7 @@ ACTIVITIES = [
     "|| CASE WHEN event_id % 2 = 0 THEN ',\"usdcSize\":' || CAST(event_id AS STRING) || '.5' "
     "ELSE ',\"size\":\"' || CAST(event_id AS STRING) || '\"' END "
     "|| ',\"blockNumber\":' || CAST(event_id AS STRING) || '}' AS event",
+    "event_id AS event_seq",
 ]
 
 LOGS = [
@@ -112,6 +113,48 @@ ENRICH_RESPONSES = [
 ]
 ENRICH_RESPONSES_WHERE = "p_partkey % 3 = 0"
 
+# Raw markets parquet with aliased columns (slug empty for 1 in 5 so the
+# market_slug alias is used; neg_risk NULL for 1 in 4).
+MARKETS_PARQUET = [
+    "CAST(p_partkey AS STRING) AS market_id",
+    "'0x' || lpad(CAST(p_partkey AS STRING),64,'0') AS condition_id",
+    "CASE WHEN p_partkey % 5 = 0 THEN '' ELSE lower(replace(p_name,' ','-')) END AS slug",
+    "replace(p_name,' ','_') AS market_slug",
+    "p_name AS title",
+    "'[\"Yes\",\"No\"]' AS outcomes",
+    "'[\"' || CAST(p_partkey*2+1 AS STRING) || '\",\"' || CAST(p_partkey*2+2 AS STRING) || '\"]' AS clob_token_ids",
+    "CASE WHEN p_partkey % 4 = 0 THEN NULL ELSE p_partkey % 3 = 0 END AS neg_risk",
+    "CAST(p_size AS STRING) || '.5' AS volume",
+    "'2024-02-' || lpad(CAST(p_partkey % 28 + 1 AS STRING),2,'0') || 'T12:00:00Z' AS created_at",
+]
+
+# Enrichment state of the market dimension: 1 in 5 fetched, 1 in 5 failed
+# earlier with 0..3 attempts at various ages (unix seconds).
+ENRICH_STATE = [
+    "CAST(p_partkey AS STRING) AS market_id",
+    "p_type AS category_seed",
+    "CASE WHEN p_partkey % 5 = 0 THEN 990000000 END AS fetched_unix",
+    "CASE WHEN p_partkey % 5 = 1 THEN 996624000 - (p_partkey % 9) * 1000 END AS failed_unix",
+    "CAST(CASE WHEN p_partkey % 5 = 1 THEN p_partkey % 4 ELSE 0 END AS INT) AS attempts",
+    "CASE WHEN p_partkey % 5 = 1 THEN 'http status 500 Internal Server Error' END AS last_error",
+]
+
+# Landed wallet API responses keyed by the maker addresses of fx_trades.
+WALLET_STATS = [
+    "'0xa' || lpad(CAST(c_custkey AS STRING),39,'0') AS proxy_address",
+    "CASE WHEN c_custkey % 9 = 0 THEN 'not json' "
+    "ELSE '{\"volume\":' || CAST(CAST(round(c_acctbal*100) AS BIGINT) AS STRING) || '}' END AS body",
+]
+WALLET_PNL = [
+    "'0xa' || lpad(CAST(c_custkey AS STRING),39,'0') AS proxy_address",
+    "'[{\"t\":1,\"p\":' || CAST(c_nationkey AS STRING) || '}]' AS body",
+]
+WALLET_PNL_WHERE = "c_custkey % 4 <> 0"
+WALLET_PROFILE = [
+    "'0xa' || lpad(CAST(c_custkey AS STRING),39,'0') AS proxy_address",
+    "'{\"name\":\"' || c_name || '\",\"segment\":\"' || c_mktsegment || '\"}' AS body",
+]
+
 FIXTURE_COLUMNS = {
     "fx_markets": (MARKETS, "part", None),
     "fx_blocks": (BLOCKS, "orders", BLOCKS_WHERE),
@@ -122,6 +165,11 @@ FIXTURE_COLUMNS = {
     "fx_files": (FILES, "orders", None),
     "fx_sidecars": (SIDECARS, "orders", SIDECARS_WHERE),
     "fx_enrich_responses": (ENRICH_RESPONSES, "part", ENRICH_RESPONSES_WHERE),
+    "fx_markets_parquet": (MARKETS_PARQUET, "part", None),
+    "fx_enrich_state": (ENRICH_STATE, "part", None),
+    "fx_wallet_stats": (WALLET_STATS, "customer", None),
+    "fx_wallet_pnl": (WALLET_PNL, "customer", WALLET_PNL_WHERE),
+    "fx_wallet_profile": (WALLET_PROFILE, "customer", None),
 }
 
 
