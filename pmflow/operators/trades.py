@@ -253,7 +253,15 @@ def build_fact_trades_direct(trades: DataFrame, blocks: DataFrame, tokens: DataF
     return build_fact_trades_keyed(staged, tokens, existing, broadcast_max_rows=broadcast_max_rows)
 
 
-def next_id_batch(df: DataFrame, last_id: int, limit: int = 50_000, id_col: str = "id") -> DataFrame:
-    """The next ``limit`` rows after cursor ``last_id`` in id order.
-    The limit is the feature: it is the reference's batch size."""
-    return df.filter(F.col(id_col) > F.lit(last_id)).orderBy(id_col).limit(limit)
+def next_id_batch(df: DataFrame, last_id: int, limit: int = 50_000, id_col: str = "id",
+                  tie_break: Sequence[str] = ()) -> DataFrame:
+    """The next ``limit`` rows after cursor ``last_id`` in id order
+    (``tie_break`` columns make the cut deterministic when ids repeat).
+    The limit is the feature: it is the reference's batch size. Spark plans
+    it as a per-partition top-k then a merge (TakeOrderedAndProject)."""
+    return df.filter(F.col(id_col) > F.lit(last_id)).orderBy(id_col, *tie_break).limit(limit)
+
+
+def next_cursor(batch: DataFrame, id_col: str = "id") -> DataFrame:
+    """The cursor after a batch, max id (even when every row was rejected)."""
+    return batch.agg(F.max(id_col).alias("next_cursor"), F.count(F.lit(1)).alias("rows"))

@@ -583,3 +583,299 @@ def q_enrichment_apply(spark, sf_dir):
                       ts_text("enrich_gamma_failed_at").alias("failed_at"),
                       F.col("enrich_gamma_attempts").alias("attempts"),
                       F.col("enrich_gamma_last_error").alias("last_error"))
+
+
+# ----------------------------------------------------------------- activities
+
+ACTIVITY_SPLIT = 1705276800  # 2024-01-15: activities before it are already stored
+
+
+def _landed_activities(t: Tables) -> DataFrame:
+    """Landed API bodies: half as a bare array, half as {"data": [...]}."""
+    a = t.fx_activities
+    body = F.when(F.col("event_seq") % 2 == 0, F.concat(F.lit("["), F.col("event"), F.lit("]"))) \
+        .otherwise(F.concat(F.lit('{"data":['), F.col("event"), F.lit("]}")))
+    return a.select("proxy", body.alias("body"), F.lit("activity").alias("source_file"),
+                    F.col("event_seq").alias("row_index"))
+
+
+def activities_of(spark, sf_dir) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    return act.normalize_activities(act.explode_events(_landed_activities(t)), as_of=AS_OF)
+
+
+_ACT_OUT = ["occurred_at", "block_number", "tx_hash", "proxy_address", "activity_type", "condition_id",
+            "amount_usd", "source"]
+
+
+def _act_text(df):
+    return df.select(*[ts_text(c).alias(c) if c == "occurred_at" else
+                       F.col(c).cast("double").alias(c) if c == "amount_usd" else F.col(c) for c in _ACT_OUT])
+
+
+_ORACLE_ACT = """an AS (SELECT json_extract_string(event, '$.timestamp') AS tsx, * FROM fx_activities),
+ao AS (
+  SELECT CASE WHEN regexp_full_match(tsx, '[+-]?[0-9]+') THEN CAST(tsx AS BIGINT)
+      ELSE CAST(epoch(strptime(tsx, '%Y-%m-%dT%H:%M:%SZ')) AS BIGINT) END AS occ,
+    CAST(json_extract(event, '$.blockNumber') AS BIGINT) AS block_number,
+    json_extract_string(event, '$.transactionHash') AS tx_hash,
+    lower(trim(proxy)) AS proxy_address,
+    upper(json_extract_string(event, '$.type')) AS activity_type,
+    CAST(NULL AS VARCHAR) AS condition_id,
+    CAST(coalesce(TRY_CAST(json_extract_string(event, '$.usdcSize') AS DECIMAL(38,9)),
+                  TRY_CAST(json_extract_string(event, '$.size') AS DECIMAL(38,9))) AS DOUBLE) AS amount_usd,
+    'data_api' AS source, event_seq
+  FROM an WHERE upper(json_extract_string(event, '$.type')) <> 'TRADE')"""
+_ACT_SELECT = (f"SELECT {_duck_ts('occ')} AS occurred_at, block_number, tx_hash, proxy_address, activity_type, "
+               "condition_id, amount_usd, source")
+
+
+@query("activities_normalized", oracle(f"{_ACT_SELECT} FROM ao", ("fx_activities",), [_ORACLE_ACT]))
+def q_activities_normalized(spark, sf_dir):
+    return _act_text(activities_of(spark, sf_dir))
+
+
+@query("activities_new", oracle(
+    f"""{_ACT_SELECT} FROM (
+      SELECT *, row_number() OVER (PARTITION BY proxy_address, activity_type, occ, tx_hash ORDER BY event_seq) AS rn
+      FROM ao) nw
+    WHERE rn = 1 AND NOT EXISTS (
+      SELECT 1 FROM ao ex WHERE ex.occ < {ACTIVITY_SPLIT} AND ex.proxy_address = nw.proxy_address
+        AND ex.activity_type = nw.activity_type AND ex.occ = nw.occ AND ex.tx_hash IS NOT DISTINCT FROM nw.tx_hash)""",
+    ("fx_activities",), [_ORACLE_ACT]))
+def q_activities_new(spark, sf_dir):
+    """A fresh fetch of every activity against the ones stored before the split."""
+    a = activities_of(spark, sf_dir)
+    stored = act.new_activities(a.filter(F.col("occurred_at") < F.timestamp_seconds(F.lit(ACTIVITY_SPLIT))), None)
+    return _act_text(act.new_activities(a, stored))
+
+
+# ----------------------------------------------------------------- inspection
+
+from pmflow.operators import status as stq  # noqa: E402
+from pmflow.operators import logs as lg  # noqa: E402
+from pmflow.operators import asof as asof_op  # noqa: E402
+from pmflow.sources import files as fl  # noqa: E402
+
+_FACT_COLS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction", "taker_direction", "price",
+              "usd_amount", "token_amount", "transaction_hash", "order_hash", "log_index"]
+
+
+@query("table_counts", oracle(
+    """SELECT 'dim_markets' AS table_name, count(*) AS n FROM fx_markets
+    UNION ALL SELECT 'fact_trades', count(*) FROM facts
+    UNION ALL SELECT 'dim_wallets', count(*) FROM wl
+    UNION ALL SELECT 'agg_wallet_topic', count(*) FROM g
+    UNION ALL SELECT 'agg_global_daily', count(*) FROM (SELECT DISTINCT ts_unix // 86400, topic FROM mrows)""",
+    _FX_TRADES, _facts_ctes(_ORACLE_DIM, _ORACLE_MAKER_ROWS, _wallet_topic_sql(), _ORACLE_WALLETS)))
+def q_table_counts(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    facts = facts_of(spark, sf_dir)
+    dim = _dim(t)
+    return stq.table_counts({
+        "dim_markets": t.fx_markets, "fact_trades": facts, "dim_wallets": wallets_of(spark, sf_dir),
+        "agg_wallet_topic": agg.wallet_topic_volume(facts, dim, as_of=AS_OF),
+        "agg_global_daily": agg.global_daily(facts, dim)})
+
+
+@query("recent_trades", oracle(
+    "SELECT * FROM facts ORDER BY " + ", ".join(f"{c} DESC" for c in _FACT_COLS) + " LIMIT 5",
+    _FX_TRADES, _facts_ctes()))
+def q_recent_trades(spark, sf_dir):
+    return stq.recent_trades(facts_of(spark, sf_dir), 5)
+
+
+@query("market_fk_check", oracle(
+    "SELECT market_id, count(*) AS n FROM facts WHERE market_id NOT IN (SELECT market_id FROM mj) GROUP BY market_id",
+    (*_FX_TRADES, "fx_markets_json"), _facts_ctes(_ORACLE_MK_JSON)))
+def q_market_fk_check(spark, sf_dir):
+    """Facts against the JSON-fed market dimension (which lacks the numeric-id markets)."""
+    t = Tables(spark, sf_dir)
+    return stq.fk_violations(facts_of(spark, sf_dir), mk.normalize_markets_json(t.fx_markets_json, as_of=AS_OF))
+
+
+NEXT_ID_CURSOR = 16_000
+_RAW_COLS = ["block_number", "log_index", "transaction_hash", "order_hash", "maker", "taker", "maker_asset_id",
+             "taker_asset_id", "maker_amount", "taker_amount"]
+
+
+@query("next_id_batch", oracle(
+    f"""SELECT block_number * 16 + log_index AS id, * FROM fx_trades WHERE block_number * 16 + log_index > {NEXT_ID_CURSOR}
+    ORDER BY id, {', '.join(_RAW_COLS)} LIMIT 50000""", ("fx_trades",), []))
+def q_next_id_batch(spark, sf_dir):
+    """The next 50,000 staged rows after the id cursor (the reference's batch size)."""
+    t = Tables(spark, sf_dir).fx_trades
+    staged = t.select((F.col("block_number") * 16 + F.col("log_index")).alias("id"), *_RAW_COLS)
+    return tr.next_id_batch(staged, NEXT_ID_CURSOR, 50_000, tie_break=_RAW_COLS)
+
+
+# ----------------------------------------------------------------- raw decode / block planning
+
+TOPIC0 = "0x" + "d0a08e8c493f9c94f29311604c9de1b4e8c8d4c06bd0c789af57f2d65bfec0f6"
+
+
+def _landed_logs(t: Tables) -> DataFrame:
+    l = t.fx_logs
+    return l.select(F.col("blocknumber").alias("block_number_hex"), F.col("logindex").alias("log_index_hex"),
+                    F.col("transactionhash").alias("transaction_hash"),
+                    F.array(F.lit(TOPIC0), F.lit(""), F.col("topic2")).alias("topics"),
+                    "data", F.lit("exchange").alias("contract"))
+
+
+@query("order_filled_decode", oracle(
+    """SELECT l_orderkey AS block_number, CAST(l_linenumber AS BIGINT) AS log_index,
+      '0x' || lpad(CAST(l_orderkey AS VARCHAR), 64, '0') AS transaction_hash, '' AS order_hash,
+      '0x' || lpad(lower(hex(l_suppkey)), 40, '0') AS maker, '' AS taker,
+      '0' AS maker_asset_id, CAST(l_partkey * 2 + 1 AS VARCHAR) AS taker_asset_id,
+      CAST(CAST(round(l_extendedprice * 1000000) AS BIGINT) AS VARCHAR) AS maker_amount,
+      CAST(CAST(l_quantity * 1000000 AS BIGINT) AS VARCHAR) AS taker_amount, '0' AS fee,
+      'exchange' AS _contract, '' AS _fetched_at
+    FROM lineitem""", (), []))
+def q_order_filled_decode(spark, sf_dir):
+    trades, _ = lg.decode_order_filled(_landed_logs(Tables(spark, sf_dir)))
+    return trades
+
+
+CHUNK, STRIDE = 1000, 100
+_ORACLE_CHUNKS = f"""bnd AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders),
+ch AS (
+  SELECT s AS chunk_start, least(s + {CHUNK - 1}, hi) AS chunk_end
+  FROM (SELECT unnest(range(lo, hi + 1, {CHUNK})) AS s, hi FROM bnd))"""
+
+
+def _chunks(spark, sf_dir):
+    o = Tables(spark, sf_dir).orders
+    lo, hi = o.agg(F.min("o_orderkey"), F.max("o_orderkey")).first()
+    return lg.block_chunks(spark, int(lo), int(hi), CHUNK)
+
+
+@query("block_chunks", oracle("SELECT chunk_start, chunk_end FROM ch", (), [_ORACLE_CHUNKS]))
+def q_block_chunks(spark, sf_dir):
+    """D17 over the block range the data spans (two scalars read from orders)."""
+    return _chunks(spark, sf_dir)
+
+
+@query("block_samples", oracle(
+    f"""SELECT DISTINCT chunk_start, block_number FROM (
+      SELECT chunk_start, unnest(list_concat(range(chunk_start, chunk_end + 1, {STRIDE}), [chunk_end])) AS block_number
+      FROM ch)""", (), [_ORACLE_CHUNKS]))
+def q_block_samples(spark, sf_dir):
+    return lg.block_samples(_chunks(spark, sf_dir), STRIDE)
+
+
+@query("block_time_interpolated", oracle(
+    """SELECT block_number,
+      CASE WHEN pb = block_number THEN pt WHEN pb IS NOT NULL AND nb IS NOT NULL AND nb > pb
+        THEN pt + ((nt - pt) * (block_number - pb)) // (nb - pb) END AS ts_unix,
+      pb AS prev_block, nb AS next_block,
+      CASE WHEN pb = block_number THEN 'exact' WHEN pb IS NOT NULL AND nb IS NOT NULL THEN 'interpolated'
+        ELSE 'unresolved' END AS method
+    FROM (
+      SELECT block_number, is_need,
+        last_value(sb IGNORE NULLS) OVER (ORDER BY block_number, is_need
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pb,
+        last_value(st IGNORE NULLS) OVER (ORDER BY block_number, is_need
+          ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
+        first_value(sb IGNORE NULLS) OVER (ORDER BY block_number, is_need
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nb,
+        first_value(st IGNORE NULLS) OVER (ORDER BY block_number, is_need
+          ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
+      FROM (SELECT block_number, 0 AS is_need, block_number AS sb, ts_unix AS st FROM bt
+            UNION ALL
+            SELECT DISTINCT block_number, 1 AS is_need, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM fx_trades) u) w
+    WHERE is_need = 1""", ("fx_blocks", "fx_trades"), [_ORACLE_BT]))
+def q_block_time_interpolated(spark, sf_dir):
+    """X1 with a small bucket (1,000 blocks) so the carry rows between buckets are exercised."""
+    t = Tables(spark, sf_dir)
+    return asof_op.interpolate_block_times(t.fx_trades, tr.block_times(t.fx_blocks), bucket_size=1000)
+
+
+# ----------------------------------------------------------------- files
+
+MANIFEST_SPLIT = "1996-01-01"
+
+
+def _listing(t: Tables) -> DataFrame:
+    return t.fx_files.unionByName(t.fx_sidecars)
+
+
+def _manifest(t: Tables) -> DataFrame:
+    """Files already processed: the trade files of orders placed before the split."""
+    o = t.orders.filter(F.col("o_orderdate") < F.lit(MANIFEST_SPLIT).cast("timestamp"))
+    key = F.concat(F.lit("polymarket/trades/trades_"), (F.col("o_orderkey") * 10).cast("string"), F.lit("_"),
+                   (F.col("o_orderkey") * 10 + 9).cast("string"), F.lit(".parquet"))
+    return o.select(key.alias("key"))
+
+
+_ORACLE_FILES = f"""listing AS (SELECT * FROM fx_files UNION ALL SELECT * FROM fx_sidecars),
+cl AS (
+  SELECT key, size, regexp_replace(key, '(^|/)\\._([^/]+)$', '\\1\\2') AS normalized_key,
+    starts_with(regexp_extract(key, '[^/]*$'), '._') AND ends_with(key, '.parquet') AS is_sidecar
+  FROM listing),
+mf AS (
+  SELECT 'polymarket/trades/trades_' || CAST(o_orderkey * 10 AS VARCHAR) || '_' || CAST(o_orderkey * 10 + 9 AS VARCHAR)
+    || '.parquet' AS key
+  FROM orders WHERE o_orderdate < TIMESTAMP '{MANIFEST_SPLIT}')"""
+_FILES_FX = ("fx_files", "fx_sidecars")
+
+
+@query("file_key_normalize", oracle("SELECT key, normalized_key, is_sidecar FROM cl", _FILES_FX, [_ORACLE_FILES]))
+def q_file_key_normalize(spark, sf_dir):
+    return fl.classify_listing(_listing(Tables(spark, sf_dir))).select("key", "normalized_key", "is_sidecar")
+
+
+@query("pending_files", oracle(
+    """SELECT key, normalized_key, size FROM cl
+    WHERE NOT is_sidecar AND ends_with(key, '.parquet') AND normalized_key NOT IN (SELECT key FROM mf)""",
+    _FILES_FX, [_ORACLE_FILES]))
+def q_pending_files(spark, sf_dir):
+    t = Tables(spark, sf_dir)
+    return fl.pending_files(_listing(t), _manifest(t), mode="manifest")
+
+
+@query("pending_files_lexicographic", oracle(
+    """SELECT key, normalized_key, size FROM cl
+    WHERE NOT is_sidecar AND ends_with(key, '.parquet') AND normalized_key > (SELECT max(key) FROM mf)""",
+    _FILES_FX, [_ORACLE_FILES]))
+def q_pending_files_lexicographic(spark, sf_dir):
+    """Q1: the reference cursor skips unpadded keys that sort before the last done key."""
+    t = Tables(spark, sf_dir)
+    return fl.pending_files(_listing(t), _manifest(t), mode="lexicographic")
+
+
+@query("sidecar_report", oracle(
+    """SELECT s.key, s.size, s.normalized_key, c.normalized_key IS NOT NULL AS canonical_counterpart_exists
+    FROM cl s LEFT JOIN (SELECT DISTINCT normalized_key FROM cl WHERE NOT is_sidecar AND ends_with(key, '.parquet')) c
+      ON s.normalized_key = c.normalized_key
+    WHERE s.is_sidecar""", _FILES_FX, [_ORACLE_FILES]))
+def q_sidecar_report(spark, sf_dir):
+    return fl.sidecar_report(_listing(Tables(spark, sf_dir)))
+
+
+@query("sidecar_summary", oracle(
+    """SELECT (SELECT count(DISTINCT normalized_key) FROM cl WHERE NOT is_sidecar AND ends_with(key, '.parquet'))
+        AS canonical_parquet_distinct_keys,
+      (SELECT count(*) FROM cl WHERE is_sidecar) AS apple_double_parquet_count,
+      (SELECT count(*) FROM cl s WHERE is_sidecar AND normalized_key NOT IN
+        (SELECT normalized_key FROM cl WHERE NOT is_sidecar AND ends_with(key, '.parquet')))
+        AS apple_double_without_counterpart""", _FILES_FX, [_ORACLE_FILES]))
+def q_sidecar_summary(spark, sf_dir):
+    return fl.sidecar_summary(_listing(Tables(spark, sf_dir)))
+
+
+@query("status_report", oracle(
+    """SELECT 'files' AS section, 'polymarket/trades:' || k AS name, v AS value FROM (
+      SELECT 'data_files' AS k, count(*) FILTER (WHERE NOT is_sidecar AND ends_with(key, '.parquet')) AS v FROM cl
+      UNION ALL SELECT 'sidecars', count(*) FILTER (WHERE is_sidecar) FROM cl
+      UNION ALL SELECT 'pending', count(*) FILTER (WHERE NOT is_sidecar AND ends_with(key, '.parquet')
+        AND normalized_key NOT IN (SELECT key FROM mf)) FROM cl)
+    UNION ALL SELECT 'tables', 'stg_order_filled', count(*) FROM stg
+    UNION ALL SELECT 'tables', 'fact_trades', count(*) FROM facts""",
+    (*_FX_TRADES, *_FILES_FX),
+    _facts_ctes(_ORACLE_FILES, f"""stg AS (
+  SELECT DISTINCT transaction_hash, maker, taker, coalesce(bt.ts_unix, 0) AS ts, maker_asset_id, taker_asset_id
+  FROM fx_trades LEFT JOIN bt USING (block_number) WHERE maker <> '' AND taker <> '' AND transaction_hash <> '')""")))
+def q_status_report(spark, sf_dir):
+    t, bt, _ = _inputs(spark, sf_dir)
+    return stq.status_report(_listing(t), _manifest(t), {
+        "stg_order_filled": tr.build_staging(t.fx_trades, bt), "fact_trades": facts_of(spark, sf_dir)})

@@ -93,14 +93,14 @@ LOGS = [
 FILES = [
     "CASE WHEN o_orderkey % 29 = 0 THEN 'polymarket/trades/._trades_' ELSE 'polymarket/trades/trades_' END "
     "|| CAST(o_orderkey*10 AS STRING) || '_' || CAST(o_orderkey*10+9 AS STRING) || '.parquet' AS key",
-    "CAST(o_totalprice AS BIGINT) AS size",
+    "CAST(round(o_totalprice) AS BIGINT) AS size",
 ]
 SIDECARS = [
     "'polymarket/trades/._trades_' || CAST(o_orderkey*10 AS STRING) || '_' || CAST(o_orderkey*10+9 AS STRING) "
     "|| '.parquet' AS key",
     "CAST(4096 AS BIGINT) AS size",
 ]
-SIDECARS_WHERE = "o_orderkey % 13 = 0"
+SIDECARS_WHERE = "o_orderkey % 13 = 0 AND o_orderkey % 29 <> 0"
 
 # Landed enrichment responses (one per market of 1 in 3 parts): 200 with a
 # category, 200 with an unusable body, 429, 500, and request errors.
