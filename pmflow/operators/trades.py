@@ -145,12 +145,13 @@ def classify_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
     return _derive(t, F.col("_bts"), drop_non_positive_price=True)
 
 
-def _fact_projection(c: DataFrame) -> DataFrame:
+def _fact_projection(c: DataFrame, extra=()) -> DataFrame:
+    """The 13 fact columns (plus ``extra`` pass-through columns)."""
     return c.select(
         "ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction", "taker_direction",
         "price", scaled_double(F.col("usd_raw")).alias("usd_amount"),
         scaled_double(F.col("token_raw")).alias("token_amount"),
-        "transaction_hash", "order_hash", "log_index")
+        "transaction_hash", "order_hash", "log_index", *extra)
 
 
 def build_fact_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *, dedupe: bool = False,

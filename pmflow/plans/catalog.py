@@ -879,3 +879,49 @@ def q_status_report(spark, sf_dir):
     t, bt, _ = _inputs(spark, sf_dir)
     return stq.status_report(_listing(t), _manifest(t), {
         "stg_order_filled": tr.build_staging(t.fx_trades, bt), "fact_trades": facts_of(spark, sf_dir)})
+
+
+# ----------------------------------------------------------------- streaming
+
+from pmflow.session import scratch_path  # noqa: E402
+from pmflow.streaming import streams as stm  # noqa: E402
+
+STREAM_FILES = 8
+
+
+def _run_fact_stream(spark, sf_dir):
+    """Land the raw trades as files (range-cut by block), then stream them
+    through ST1 two files per micro-batch. Returns (facts_path, rejects_path)."""
+    t, bt, tm = _inputs(spark, sf_dir)
+    base = scratch_path(spark, "stream")
+    landing = f"{base}/landing/trades"
+    t.fx_trades.repartitionByRange(STREAM_FILES, "block_number", "log_index").write.parquet(landing)
+    q = stm.stream_fact_trades(spark, landing, bt, tm, out_path=f"{base}/facts", rejects_path=f"{base}/rejects",
+                               checkpoint=f"{base}/_ckpt/facts", max_files_per_trigger=2)
+    q.awaitTermination()
+    return base
+
+
+@query("stream_fact_trades", oracle("SELECT * FROM facts", _FX_TRADES, _facts_ctes()))
+def q_stream_fact_trades(spark, sf_dir):
+    base = _run_fact_stream(spark, sf_dir)
+    return spark.read.parquet(f"{base}/facts").drop("source_file")
+
+
+@query("stream_global_daily", oracle(_global_daily_sql("CAST(NULL AS BIGINT)"), _FX_TRADES,
+                                     _facts_ctes(_ORACLE_DIM, _ORACLE_MAKER_ROWS)))
+def q_stream_global_daily(spark, sf_dir):
+    base = _run_fact_stream(spark, sf_dir)
+    q = stm.stream_global_daily(spark, f"{base}/facts", _dim(Tables(spark, sf_dir)), out_path=f"{base}/daily",
+                                checkpoint=f"{base}/_ckpt/daily", max_files_per_trigger=2)
+    q.awaitTermination()
+    return stm.read_global_daily(spark, f"{base}/daily").withColumn("stat_date", F.col("stat_date").cast("string"))
+
+
+@query("stream_wallets", oracle(_WALLET_OUT, _FX_TRADES, _facts_ctes(_ORACLE_WALLETS)))
+def q_stream_wallets(spark, sf_dir):
+    base = _run_fact_stream(spark, sf_dir)
+    q = stm.stream_wallets(spark, f"{base}/facts", out_path=f"{base}/wallets", checkpoint=f"{base}/_ckpt/wallets",
+                           max_files_per_trigger=2)
+    q.awaitTermination()
+    return _wallets_text(stm.read_wallets(spark, f"{base}/wallets"))
