@@ -33,7 +33,10 @@ def parse_amount(c: Column | str) -> Column:
     """F3 (unscaled): amount text -> DECIMAL(38,6), NULL if not a number or beyond 2^96-1."""
     t = unicode_trim(col(c))
     d = F.when(t.rlike(_AMOUNT_RE), t.try_cast(AMOUNT_TYPE))
-    return F.when(F.abs(d) <= F.lit(DECIMAL96_MAX).cast("decimal(38,0)"), d)
+    # text shorter than 29 chars has at most 28 digits, below 2^96-1: skip the
+    # (BigDecimal) bound comparison for every realistic amount
+    in_range = (F.length(t) < 29) | (F.abs(d) <= F.lit(DECIMAL96_MAX).cast("decimal(38,0)"))
+    return F.when(in_range, d)
 
 
 def scaled_double(d: Column) -> Column:
@@ -42,15 +45,16 @@ def scaled_double(d: Column) -> Column:
 
 
 def iso_to_unix(c: Column | str, allow_naive: bool = True) -> Column:
-    """ISO/RFC3339 text -> unix seconds (fraction floored); NULL when not parseable."""
+    """ISO/RFC3339 text -> unix seconds (fraction floored); NULL when not parseable.
+
+    One guard regex on the trimmed text, then Spark's own timestamp parser
+    (upper-cased so 't'/'z' read as 'T'/'Z'; no zone = UTC session zone).
+    """
     t = unicode_trim(col(c))
-    ok = t.rlike(_RFC3339_RE)
-    if allow_naive:
-        ok = ok | t.rlike(_NAIVE_RE)
-    norm = F.regexp_replace(F.regexp_replace(t, "[tT ]", "T"), "[zZ]$", "+00:00")
-    norm = F.when(norm.rlike(r"[+-][0-9]{2}:[0-9]{2}$"), norm).otherwise(F.concat(norm, F.lit("+00:00")))
-    ts = F.try_to_timestamp(norm)
-    return F.when(ok, F.unix_seconds(ts))
+    pattern = _RFC3339_RE if not allow_naive else \
+        r"^[0-9]{4}-[0-9]{2}-[0-9]{2}([Tt ][0-9]{2}:[0-9]{2}:[0-9]{2}(\.[0-9]+)?([Zz]|[+-][0-9]{2}:[0-9]{2})" \
+        r"|T[0-9]{2}:[0-9]{2}:[0-9]{2})$"
+    return F.when(t.rlike(pattern), F.unix_seconds(F.try_to_timestamp(F.upper(t))))
 
 
 def unix_to_iso(c: Column | str) -> Column:

@@ -34,8 +34,14 @@ DEFAULT_TOPIC = "other"
 
 
 def unicode_trim(c: Column) -> Column:
-    """Trim Unicode whitespace on both ends (Spark's trim strips only spaces)."""
-    return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
+    """Trim Unicode whitespace on both ends (Spark's trim strips only spaces).
+
+    The regex runs only when an end character is a control/space or
+    non-ASCII code point; for the usual clean value it is two ``ascii`` calls.
+    """
+    first, last = F.ascii(c), F.ascii(F.right(c, F.lit(1)))
+    suspicious = (first <= 32) | (first >= 128) | (last <= 32) | (last >= 128)
+    return F.when(suspicious, F.regexp_replace(c, r"(?U)^\s+|\s+$", "")).otherwise(c)
 
 
 def normalize_key(c: Column | str) -> Column:

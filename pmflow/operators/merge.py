@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -94,5 +95,11 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     """
     if max_rows <= 0:
         return df
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    # persist so the check and the join read the dimension once; its size is
+    # bounded by max_rows when it stays cached
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    n = cached.limit(max_rows + 1).count()
+    if n <= max_rows:
+        return F.broadcast(cached)
+    cached.unpersist()
+    return df

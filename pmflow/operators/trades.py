@@ -54,9 +54,13 @@ def block_times(blocks: DataFrame) -> DataFrame:
         F.col("block_number").cast("bigint").alias("block_number"),
         iso_to_unix(F.col("timestamp")).alias("ts_unix"),
         *[c for c in ("source_file", "row_index") if c in blocks.columns])
-    b = b.filter(F.col("block_number").isNotNull() & F.col("ts_unix").isNotNull())
     order = _order_of(b, ["ts_unix"])
-    return pick_per_key(b, ["block_number"], order, last=True).select("block_number", "ts_unix")
+    # last *valid* row wins: invalid rows enter the max as NULL (ignored), so
+    # the parse runs once per row instead of once in a filter and again after it
+    packed = F.struct(*[F.col(o).alias(f"o{i}") for i, o in enumerate(order)], F.col("ts_unix").alias("ts"))
+    best = F.max(F.when(F.col("ts_unix").isNotNull(), packed)).alias("best")
+    out = b.filter(F.col("block_number").isNotNull()).groupBy("block_number").agg(best)
+    return out.select("block_number", F.col("best.ts").alias("ts_unix")).filter(F.col("ts_unix").isNotNull())
 
 
 def token_map(markets: DataFrame) -> DataFrame:
@@ -95,16 +99,21 @@ def _normalized_raw(trades: DataFrame) -> DataFrame:
         *extra)
 
 
+def _with_amounts(t: DataFrame) -> DataFrame:
+    """Parse both amounts once, in their own projection, before any join: a
+    later filter on the reject reason then refers to these columns instead of
+    re-running the parse for every predicate Catalyst pushes down."""
+    return t.withColumns({"_ma": parse_amount("maker_amount"), "_ta": parse_amount("taker_amount")})
+
+
 def _derive(t: DataFrame, ts: Column, drop_non_positive_price: bool) -> DataFrame:
     """Side, directions, amounts and price, plus the first failing reason."""
-    ma = parse_amount("maker_amount")
-    ta = parse_amount("taker_amount")
     taker_usdc = F.col("taker_asset_id") == USDC_ASSET
     maker_usdc = F.col("maker_asset_id") == USDC_ASSET
     denom = F.when(taker_usdc, F.col("_ma")).otherwise(F.col("_ta"))
     numer = F.when(taker_usdc, F.col("_ta")).otherwise(F.col("_ma"))
     price = numer.cast("double") / denom.cast("double")
-    t = t.withColumns({"_ts": ts, "_ma": ma, "_ta": ta})
+    t = t.withColumn("_ts", ts)
     reason = (F.when(F.col("_ts").isNull() | (F.col("_ts") <= 0), "no_block")
               .when((F.col("maker") == "") | (F.col("taker") == "") | (F.col("transaction_hash") == ""),
                     "empty_field")
@@ -138,7 +147,7 @@ def classify_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
 
     ``blocks`` is a block_times frame (block_number, ts_unix).
     """
-    t = _normalized_raw(trades)
+    t = _with_amounts(_normalized_raw(trades))
     bt = broadcast_if_small(blocks.select("block_number", "ts_unix"), broadcast_max_rows)
     t = t.join(bt.withColumnRenamed("ts_unix", "_bts"), "block_number", "left")
     t = _lookup_asset(t, tokens, broadcast_max_rows)
@@ -223,7 +232,7 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
         "maker_asset_id", "taker_asset_id",
         F.col("maker_amount_filled").alias("maker_amount"), F.col("taker_amount_filled").alias("taker_amount"),
         "ingest_order")
-    t = _lookup_asset(t, tokens, broadcast_max_rows)
+    t = _lookup_asset(_with_amounts(t), tokens, broadcast_max_rows)
     d = _derive(t, F.col("_ts_in"), drop_non_positive_price=False)
     ok = d.filter(F.col("market_id").isNotNull() & F.col("_ma").isNotNull() & F.col("_ta").isNotNull()
                   & F.col("price").isNotNull())

@@ -10,6 +10,8 @@ the same rows. In Spark the views are built with the DataFrame API
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,6 +175,12 @@ FIXTURE_COLUMNS = {
 }
 
 
+# Raw views with per-row parsing downstream (trades, logs, activity bodies,
+# blocks, market documents): landed as multi-file parquet once per session.
+LANDED = {"fx_trades", "fx_logs", "fx_activities", "fx_blocks", "fx_markets_json"}
+_LANDED_PATHS: dict[tuple, str] = {}
+
+
 def fixture_sql(name: str) -> str:
     cols, frm, where = FIXTURE_COLUMNS[name]
     sql = "SELECT " + ",\n ".join(cols) + "\nFROM " + frm
@@ -209,7 +217,26 @@ class Tables:
             src = self.table(frm)
         if where:
             src = src.filter(F.expr(where))
-        return src.selectExpr(*cols)
+        out = src.selectExpr(*cols)
+        if name in LANDED:
+            return self._landed(name, out)
+        return out
+
+    def _landed(self, name: str, view: DataFrame) -> DataFrame:
+        """Raw inputs arrive as many files in a landing folder. The driver's
+        parquet files are a single row group (one scan task), so the raw views
+        are landed once per session as multi-file parquet under the shared
+        checkpoint folder and read back: scans, pushed-down filters and the
+        per-row parsing then run in parallel, as they do on landed data."""
+        from pmflow.session import checkpoint_root
+        key = (self.spark.sparkContext.applicationId, self.sf_dir, name)
+        path = _LANDED_PATHS.get(key)
+        if path is None:
+            n = max(self.spark.sparkContext.defaultParallelism, 1)
+            path = f"{checkpoint_root(self.spark)}/landing/{uuid.uuid4().hex[:12]}/{name}"
+            view.repartition(n).write.mode("overwrite").parquet(path)
+            _LANDED_PATHS[key] = path
+        return self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("fx_"):
