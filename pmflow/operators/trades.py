@@ -218,7 +218,7 @@ def build_staging(trades: DataFrame, blocks: DataFrame, existing: DataFrame | No
 
 
 def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: DataFrame | None = None, *,
-                            source: str = "polymarket_pipeline",
+                            source: str = "batch_pipeline",
                             broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Relational facts from staged fills (``timestamp_i64`` resolved,
     ``ingest_order`` = insertion order).

@@ -296,7 +296,7 @@ kf AS (
     CAST(numer AS DOUBLE) / CAST(denom AS DOUBLE) AS price,
     CAST(CASE WHEN taker_asset_id = '0' THEN ta ELSE ma END AS DOUBLE) / 1000000.0 AS usd_amount,
     CAST(CASE WHEN taker_asset_id = '0' THEN ma ELSE ta END AS DOUBLE) / 1000000.0 AS token_amount,
-    transaction_hash, 'polymarket_pipeline' AS source, {_TOTAL_ORDER_SQL.replace('maker, taker, ', '')
+    transaction_hash, 'batch_pipeline' AS source, {_TOTAL_ORDER_SQL.replace('maker, taker, ', '')
                                                          .replace('transaction_hash, ', '')
                                                          .replace('maker_asset_id, taker_asset_id, ', '')}
     , maker_asset_id, taker_asset_id
@@ -802,7 +802,7 @@ def _listing(t: Tables) -> DataFrame:
 def _manifest(t: Tables) -> DataFrame:
     """Files already processed: the trade files of orders placed before the split."""
     o = t.orders.filter(F.col("o_orderdate") < F.lit(MANIFEST_SPLIT).cast("timestamp"))
-    key = F.concat(F.lit("polymarket/trades/trades_"), (F.col("o_orderkey") * 10).cast("string"), F.lit("_"),
+    key = F.concat(F.lit("exchange/trades/trades_"), (F.col("o_orderkey") * 10).cast("string"), F.lit("_"),
                    (F.col("o_orderkey") * 10 + 9).cast("string"), F.lit(".parquet"))
     return o.select(key.alias("key"))
 
@@ -813,7 +813,7 @@ cl AS (
     starts_with(regexp_extract(key, '[^/]*$'), '._') AND ends_with(key, '.parquet') AS is_sidecar
   FROM listing),
 mf AS (
-  SELECT 'polymarket/trades/trades_' || CAST(o_orderkey * 10 AS VARCHAR) || '_' || CAST(o_orderkey * 10 + 9 AS VARCHAR)
+  SELECT 'exchange/trades/trades_' || CAST(o_orderkey * 10 AS VARCHAR) || '_' || CAST(o_orderkey * 10 + 9 AS VARCHAR)
     || '.parquet' AS key
   FROM orders WHERE o_orderdate < TIMESTAMP '{MANIFEST_SPLIT}')"""
 _FILES_FX = ("fx_files", "fx_sidecars")
@@ -864,7 +864,7 @@ def q_sidecar_summary(spark, sf_dir):
 
 
 @query("status_report", oracle(
-    """SELECT 'files' AS section, 'polymarket/trades:' || k AS name, v AS value FROM (
+    """SELECT 'files' AS section, 'exchange/trades:' || k AS name, v AS value FROM (
       SELECT 'data_files' AS k, count(*) FILTER (WHERE NOT is_sidecar AND ends_with(key, '.parquet')) AS v FROM cl
       UNION ALL SELECT 'sidecars', count(*) FILTER (WHERE is_sidecar) FROM cl
       UNION ALL SELECT 'pending', count(*) FILTER (WHERE NOT is_sidecar AND ends_with(key, '.parquet')

@@ -93,12 +93,12 @@ LOGS = [
 # unpadded numbers so lexicographic order differs from numeric), a sidecar
 # copy ('._' prefix) for 1 in 13, and an orphan sidecar for 1 in 29.
 FILES = [
-    "CASE WHEN o_orderkey % 29 = 0 THEN 'polymarket/trades/._trades_' ELSE 'polymarket/trades/trades_' END "
+    "CASE WHEN o_orderkey % 29 = 0 THEN 'exchange/trades/._trades_' ELSE 'exchange/trades/trades_' END "
     "|| CAST(o_orderkey*10 AS STRING) || '_' || CAST(o_orderkey*10+9 AS STRING) || '.parquet' AS key",
     "CAST(round(o_totalprice) AS BIGINT) AS size",
 ]
 SIDECARS = [
-    "'polymarket/trades/._trades_' || CAST(o_orderkey*10 AS STRING) || '_' || CAST(o_orderkey*10+9 AS STRING) "
+    "'exchange/trades/._trades_' || CAST(o_orderkey*10 AS STRING) || '_' || CAST(o_orderkey*10+9 AS STRING) "
     "|| '.parquet' AS key",
     "CAST(4096 AS BIGINT) AS size",
 ]

@@ -65,17 +65,17 @@ def test_hex_to_long(spark):
 
 
 def test_sidecar_vectors(spark):
-    assert one(spark, E.is_sidecar, "polymarket/markets/._markets_40000_50000.parquet") is True
-    assert one(spark, E.is_sidecar, "polymarket/markets/markets_40000_50000.parquet") is False
-    assert one(spark, E.strip_sidecar_prefix, "polymarket/blocks/._blocks_10000000_10100000.parquet") == \
-        "polymarket/blocks/blocks_10000000_10100000.parquet"
-    assert one(spark, E.strip_sidecar_prefix, "polymarket/trades/._trades_0_10000.parquet") == \
-        "polymarket/trades/trades_0_10000.parquet"
-    assert one(spark, E.strip_sidecar_prefix, "polymarket/blocks/blocks_1_2.parquet") == \
-        "polymarket/blocks/blocks_1_2.parquet"
+    assert one(spark, E.is_sidecar, "exchange/markets/._markets_40000_50000.parquet") is True
+    assert one(spark, E.is_sidecar, "exchange/markets/markets_40000_50000.parquet") is False
+    assert one(spark, E.strip_sidecar_prefix, "exchange/blocks/._blocks_10000000_10100000.parquet") == \
+        "exchange/blocks/blocks_10000000_10100000.parquet"
+    assert one(spark, E.strip_sidecar_prefix, "exchange/trades/._trades_0_10000.parquet") == \
+        "exchange/trades/trades_0_10000.parquet"
+    assert one(spark, E.strip_sidecar_prefix, "exchange/blocks/blocks_1_2.parquet") == \
+        "exchange/blocks/blocks_1_2.parquet"
 
 
 def test_cursor_key(spark):
-    assert one(spark, E.cursor_key, "x=1\nlast_completed_file=polymarket/trades/b.parquet\n") == \
-        "polymarket/trades/b.parquet"
-    assert one(spark, E.cursor_key, "polymarket/trades/a.parquet") == "polymarket/trades/a.parquet"
+    assert one(spark, E.cursor_key, "x=1\nlast_completed_file=exchange/trades/b.parquet\n") == \
+        "exchange/trades/b.parquet"
+    assert one(spark, E.cursor_key, "exchange/trades/a.parquet") == "exchange/trades/a.parquet"
