@@ -925,3 +925,26 @@ def q_stream_wallets(spark, sf_dir):
                            max_files_per_trigger=2)
     q.awaitTermination()
     return _wallets_text(stm.read_wallets(spark, f"{base}/wallets"))
+
+
+@query("stream_fact_trades_dedup", oracle(
+    "SELECT DISTINCT transaction_hash, log_index, ts_unix FROM facts", _FX_TRADES, _facts_ctes()))
+def q_stream_fact_trades_dedup(spark, sf_dir):
+    """Streaming dedupe on (transaction_hash, log_index) with a watermark
+    wide enough for the fixture's disorder (order dates span ten years)."""
+    t, bt, tm = _inputs(spark, sf_dir)
+    base = scratch_path(spark, "stream-dedup")
+    landing = f"{base}/landing/trades"
+    t.fx_trades.repartitionByRange(STREAM_FILES, "block_number", "log_index").write.parquet(landing)
+    q = stm.stream_fact_trades_dedup(spark, landing, bt, tm, out_path=f"{base}/facts",
+                                     checkpoint=f"{base}/_ckpt", watermark="3700 days", max_files_per_trigger=2)
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/facts").select("transaction_hash", "log_index", "ts_unix")
+
+
+@query("listing_sample", oracle(
+    "SELECT key FROM cl WHERE NOT is_sidecar AND ends_with(key, '.parquet') ORDER BY key LIMIT 8",
+    _FILES_FX, [_ORACLE_FILES]))
+def q_listing_sample(spark, sf_dir):
+    """The sample of eight keys the status report shows."""
+    return fl.listing_sample(_listing(Tables(spark, sf_dir)), 8)

@@ -76,3 +76,22 @@ def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | Non
         return r.parquet(path)
     except AnalysisException:
         return None
+
+
+def write_by_chunk(df: DataFrame, path: str, chunk_size: int, *, block_col: str = "block_number") -> None:
+    """Blocks / trades stored per block range: partition ``chunk_start`` =
+    block - block mod chunk_size; dynamic overwrite, so a re-fetched range
+    replaces only itself."""
+    c = F.col(block_col)
+    out = df.withColumn("chunk_start", c - F.pmod(c, F.lit(int(chunk_size))))
+    overwrite_partitions(out, path, ["chunk_start"])
+
+
+def resolve_data_root(spark: SparkSession, base: str, subdir: str = "trades",
+                      candidates: tuple[str, ...] = ("exchange", "data/exchange")) -> str | None:
+    """The raw root is ``base/<c>`` for the first candidate whose ``subdir`` is readable."""
+    for c in candidates:
+        root = f"{base.rstrip('/')}/{c}"
+        if read_or_none(spark, f"{root}/{subdir}") is not None:
+            return root
+    return None
