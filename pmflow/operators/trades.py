@@ -234,8 +234,11 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
         "ingest_order")
     t = _lookup_asset(_with_amounts(t), tokens, broadcast_max_rows)
     d = _derive(t, F.col("_ts_in"), drop_non_positive_price=False)
-    ok = d.filter(F.col("market_id").isNotNull() & F.col("_ma").isNotNull() & F.col("_ta").isNotNull()
-                  & F.col("price").isNotNull())
+    # one CASE over both join sides: Catalyst cannot split it into conjuncts and
+    # push the amount checks below the token join (which would re-run the parse)
+    keep = F.when(F.col("market_id").isNull(), F.lit(False)).otherwise(
+        F.col("_ma").isNotNull() & F.col("_ta").isNotNull() & F.col("price").isNotNull())
+    ok = d.filter(keep)
     facts = ok.select(
         F.col("_ts_in").alias("ts_unix"), "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
         "taker_direction", "price",
