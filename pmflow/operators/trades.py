@@ -141,6 +141,21 @@ def _lookup_asset(t: DataFrame, tokens: DataFrame, broadcast_max_rows: int) -> D
     return t.join(tm, "asset_id", "left")
 
 
+def resolve_block_times(trades: DataFrame, blocks: DataFrame, mode: str = "exact", *,
+                        bucket_size: int | None = None) -> DataFrame:
+    """Block time per trade block. 'exact': the sampled blocks as they are (the
+    reference's join, Q3); 'interpolated': X1, the nearest samples on both
+    sides of every block a trade references, interpolated linearly."""
+    if mode == "exact":
+        return blocks
+    if mode != "interpolated":
+        raise ValueError(f"mode must be exact|interpolated, got {mode!r}")
+    from pmflow.operators.asof import BUCKET_SIZE, interpolate_block_times
+    t = trades.select(F.coalesce(F.col("block_number").cast("bigint"), F.lit(0)).alias("block_number"))
+    it = interpolate_block_times(t, blocks, bucket_size=bucket_size or BUCKET_SIZE)
+    return it.filter(F.col("ts_unix").isNotNull()).select("block_number", "ts_unix")
+
+
 def classify_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
                     broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
     """Every raw trade with its derived fact columns and ``reject_reason`` (NULL = accepted).

@@ -948,3 +948,38 @@ def q_stream_fact_trades_dedup(spark, sf_dir):
 def q_listing_sample(spark, sf_dir):
     """The sample of eight keys the status report shows."""
     return fl.listing_sample(_listing(Tables(spark, sf_dir)), 8)
+
+
+
+_ORACLE_BT_INTERP = """bt0 AS (
+  SELECT block_number, max(CAST(epoch(strptime(timestamp, '%Y-%m-%dT%H:%M:%SZ')) AS BIGINT)) AS ts_unix
+  FROM fx_blocks GROUP BY block_number),
+bw AS (
+  SELECT block_number, is_need,
+    last_value(sb IGNORE NULLS) OVER (ORDER BY block_number, is_need
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pb,
+    last_value(st IGNORE NULLS) OVER (ORDER BY block_number, is_need
+      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS pt,
+    first_value(sb IGNORE NULLS) OVER (ORDER BY block_number, is_need
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nb,
+    first_value(st IGNORE NULLS) OVER (ORDER BY block_number, is_need
+      ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS nt
+  FROM (SELECT block_number, 0 AS is_need, block_number AS sb, ts_unix AS st FROM bt0
+        UNION ALL
+        SELECT DISTINCT block_number, 1 AS is_need, CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM fx_trades) u),
+bt AS (
+  SELECT block_number,
+    CASE WHEN pb = block_number THEN pt WHEN pb IS NOT NULL AND nb IS NOT NULL AND nb > pb
+      THEN pt + ((nt - pt) * (block_number - pb)) // (nb - pb) END AS ts_unix
+  FROM bw WHERE is_need = 1 AND pb IS NOT NULL AND (pb = block_number OR (nb IS NOT NULL AND nb > pb)))"""
+
+
+@query("fact_trades_interpolated", oracle(
+    "SELECT * FROM facts", _FX_TRADES, [_ORACLE_BT_INTERP, _ORACLE_TM, _ORACLE_CLASSIFY]))
+def q_fact_trades_interpolated(spark, sf_dir):
+    """X1 inside D3: trades whose block was not sampled get an interpolated time
+    instead of being rejected as no_block."""
+    t, bt, tm = _inputs(spark, sf_dir)
+    blocks = tr.resolve_block_times(t.fx_trades, bt, "interpolated", bucket_size=1000)
+    facts, _ = tr.build_fact_trades(t.fx_trades, blocks, tm)
+    return facts

@@ -72,8 +72,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     b = rows_of(dcols, drows)
     res["values_match"] = a == b
     if not res["values_match"]:
-        diff_a = [r for r in a if r not in set(b)][:3]
-        diff_b = [r for r in b if r not in set(a)][:3]
+        sa, sb = set(a), set(b)
+        diff_a = [r for r in a if r not in sb][:3]
+        diff_b = [r for r in b if r not in sa][:3]
         res["spark_only"] = diff_a
         res["oracle_only"] = diff_b
     return res
