@@ -886,18 +886,19 @@ def q_status_report(spark, sf_dir):
 from pmflow.session import scratch_path  # noqa: E402
 from pmflow.streaming import streams as stm  # noqa: E402
 
-STREAM_FILES = 8
+STREAM_FILES = 16
+STREAM_FILES_PER_TRIGGER = 4
 
 
 def _run_fact_stream(spark, sf_dir):
     """Land the raw trades as files (range-cut by block), then stream them
-    through ST1 two files per micro-batch. Returns (facts_path, rejects_path)."""
+    through ST1 four files per micro-batch. Returns (facts_path, rejects_path)."""
     t, bt, tm = _inputs(spark, sf_dir)
     base = scratch_path(spark, "stream")
     landing = f"{base}/landing/trades"
     t.fx_trades.repartitionByRange(STREAM_FILES, "block_number", "log_index").write.parquet(landing)
     q = stm.stream_fact_trades(spark, landing, bt, tm, out_path=f"{base}/facts", rejects_path=f"{base}/rejects",
-                               checkpoint=f"{base}/_ckpt/facts", max_files_per_trigger=2)
+                               checkpoint=f"{base}/_ckpt/facts", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return base
 
@@ -913,7 +914,7 @@ def q_stream_fact_trades(spark, sf_dir):
 def q_stream_global_daily(spark, sf_dir):
     base = _run_fact_stream(spark, sf_dir)
     q = stm.stream_global_daily(spark, f"{base}/facts", _dim(Tables(spark, sf_dir)), out_path=f"{base}/daily",
-                                checkpoint=f"{base}/_ckpt/daily", max_files_per_trigger=2)
+                                checkpoint=f"{base}/_ckpt/daily", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return stm.read_global_daily(spark, f"{base}/daily").withColumn("stat_date", F.col("stat_date").cast("string"))
 
@@ -922,7 +923,7 @@ def q_stream_global_daily(spark, sf_dir):
 def q_stream_wallets(spark, sf_dir):
     base = _run_fact_stream(spark, sf_dir)
     q = stm.stream_wallets(spark, f"{base}/facts", out_path=f"{base}/wallets", checkpoint=f"{base}/_ckpt/wallets",
-                           max_files_per_trigger=2)
+                           max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return _wallets_text(stm.read_wallets(spark, f"{base}/wallets"))
 
@@ -937,7 +938,7 @@ def q_stream_fact_trades_dedup(spark, sf_dir):
     landing = f"{base}/landing/trades"
     t.fx_trades.repartitionByRange(STREAM_FILES, "block_number", "log_index").write.parquet(landing)
     q = stm.stream_fact_trades_dedup(spark, landing, bt, tm, out_path=f"{base}/facts",
-                                     checkpoint=f"{base}/_ckpt", watermark="3700 days", max_files_per_trigger=2)
+                                     checkpoint=f"{base}/_ckpt", watermark="3700 days", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
     return spark.read.parquet(f"{base}/facts").select("transaction_hash", "log_index", "ts_unix")
 
