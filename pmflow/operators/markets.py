@@ -68,6 +68,14 @@ def _ts_from(c: Column) -> Column:
     return F.timestamp_seconds(iso_to_unix(c, allow_naive=False))
 
 
+def explode_market_pages(pages: DataFrame, *, page_col: str = "page") -> DataFrame:
+    """Landed API pages (a JSON array of market objects each) -> one
+    JSON document per market (``doc``). A page that is not an array yields
+    nothing; the page is parsed once and each element re-serialized."""
+    arr = F.try_variant_get(F.try_parse_json(F.col(page_col)), "$", "array<variant>")
+    return pages.select(F.explode(arr).alias("m")).select(F.to_json("m").alias("doc"))
+
+
 def normalize_markets_json(docs: DataFrame, *, doc_col: str = "doc", as_of: int) -> DataFrame:
     """One market row per JSON document with a string ``id``.
 

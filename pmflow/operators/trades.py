@@ -190,12 +190,34 @@ def build_fact_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *
     facts = _fact_projection(c.filter(F.col("reject_reason").isNull()))
     if dedupe:
         facts = dedupe_facts(facts)
-    rejects = c.filter(F.col("reject_reason").isNotNull()).select(
-        "block_number", "log_index", "transaction_hash", "order_hash", "maker", "taker",
-        "maker_asset_id", "taker_asset_id", "maker_amount", "taker_amount", "reject_reason")
+    rejects = c.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
     return facts, rejects
 
 
+REJECT_COLUMNS = ["block_number", "log_index", "transaction_hash", "order_hash", "maker", "taker",
+                  "maker_asset_id", "taker_asset_id", "maker_amount", "taker_amount", "reject_reason"]
+# Reasons a later-arriving block or market can cure.
+REPLAYABLE = ["no_block", "no_market"]
+
+
+def replay_rejects(rejects: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
+                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+    """Late data (I9): re-classify rows rejected for a missing block or market
+    against the current block times and token map. Returns (recovered facts,
+    rejects that remain); rows rejected for other reasons stay as they were.
+
+    The reference loses such trades for good; here the reject table is the
+    queue of work for the next run.
+    """
+    extra = [c for c in rejects.columns if c not in REJECT_COLUMNS]
+    retry = rejects.filter(F.col("reject_reason").isin(*REPLAYABLE)).drop("reject_reason")
+    keep = rejects.filter(~F.col("reject_reason").isin(*REPLAYABLE))
+    c = classify_trades(retry, blocks, tokens, broadcast_max_rows=broadcast_max_rows)
+    recovered = _fact_projection(c.filter(F.col("reject_reason").isNull()), extra=extra)
+    still = c.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS, *extra)
+    return recovered, keep.select(*REJECT_COLUMNS, *extra).unionByName(still)
+
+
 def dedupe_facts(facts: DataFrame, order: Sequence[str] | None = None) -> DataFrame:
     """One fact per (transaction_hash, log_index), first under ``order``."""
     keys = ["transaction_hash", "log_index"]
