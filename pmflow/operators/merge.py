@@ -93,13 +93,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
     more than the bound. Beyond it the join is left to the planner (sort-merge
     with AQE skew splitting).
     """
+    return checked_broadcast(df, max_rows)[0]
+
+
+def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
+    """``broadcast_if_small`` that also says whether the bound held."""
     if max_rows <= 0:
-        return df
+        return df, False
     # persist so the check and the join read the dimension once; its size is
     # bounded by max_rows when it stays cached
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = cached.limit(max_rows + 1).count()
     if n <= max_rows:
-        return F.broadcast(cached)
+        return F.broadcast(cached), True
     cached.unpersist()
-    return df
+    return df, False

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pmflow.functions.exprs import USDC_ASSET, amount_text, iso_to_unix, parse_amount, scaled_double
-from pmflow.operators.merge import broadcast_if_small, pick_per_key, total_order, insert_if_absent
+from pmflow.operators.merge import broadcast_if_small, checked_broadcast, insert_if_absent, pick_per_key, total_order
 
 FACT_COLUMNS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
                 "taker_direction", "price", "usd_amount", "token_amount", "transaction_hash",
@@ -134,6 +134,26 @@ def _derive(t: DataFrame, ts: Column, drop_non_positive_price: bool) -> DataFram
         reason.alias("reject_reason"))
 
 
+def block_lookup(trades: DataFrame, blocks: DataFrame, broadcast_max_rows: int) -> DataFrame:
+    """Block times for the blocks this batch of trades references.
+
+    A chain has one block per ~2 s, so the full block table can outgrow any
+    broadcast. When it fails the bounded count, it is narrowed with a
+    semi-join on the distinct trade blocks (a one-column scan and a partial
+    aggregate), then broadcast if that proves small; otherwise the join stays
+    a sort-merge join (AQE splits a hot block).
+    ``broadcast_max_rows=0`` means the caller already decided (streaming).
+    """
+    bt = blocks.select("block_number", "ts_unix")
+    if broadcast_max_rows <= 0:
+        return bt
+    small, ok = checked_broadcast(bt, broadcast_max_rows)
+    if ok:
+        return small
+    needed = trades.select("block_number").distinct()
+    return broadcast_if_small(bt.join(needed, "block_number", "left_semi"), broadcast_max_rows)
+
+
 def _lookup_asset(t: DataFrame, tokens: DataFrame, broadcast_max_rows: int) -> DataFrame:
     t = t.withColumn("asset_id", F.when(F.col("maker_asset_id") != USDC_ASSET, F.col("maker_asset_id"))
                      .otherwise(F.col("taker_asset_id")))
@@ -163,7 +183,7 @@ def classify_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
     ``blocks`` is a block_times frame (block_number, ts_unix).
     """
     t = _with_amounts(_normalized_raw(trades))
-    bt = broadcast_if_small(blocks.select("block_number", "ts_unix"), broadcast_max_rows)
+    bt = block_lookup(t, blocks, broadcast_max_rows)
     t = t.join(bt.withColumnRenamed("ts_unix", "_bts"), "block_number", "left")
     t = _lookup_asset(t, tokens, broadcast_max_rows)
     return _derive(t, F.col("_bts"), drop_non_positive_price=True)
