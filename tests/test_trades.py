@@ -92,3 +92,19 @@ def test_token_collision_highest_market_then_token2(spark):
     m = spark.createDataFrame([("a", "5", "6"), ("b", "6", "7")], "market_id string, token1 string, token2 string")
     got = {r.asset_id: (r.market_id, r.side) for r in tr.token_map(m).collect()}
     assert got["6"] == ("b", "token1") and got["5"] == ("a", "token1")
+
+
+def test_block_lookup_narrows_large_block_table(spark):
+    import contextlib
+    import io
+    blocks = spark.range(0, 5000).selectExpr("id AS block_number", "id * 10 + 1000000 AS ts_unix")
+    trades = spark.range(0, 300).selectExpr("id * 7 AS block_number")
+    bt = tr.block_lookup(trades, blocks, 1000)  # 5000 blocks fail the bound; the 300 referenced pass
+    assert bt.count() == 300
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        trades.join(bt, "block_number", "left").explain()
+    assert "BroadcastHashJoin" in buf.getvalue()
+    # beyond the bound even after narrowing: no broadcast hint, a plain join
+    wide = tr.block_lookup(spark.range(0, 3000).selectExpr("id AS block_number"), blocks, 1000)
+    assert wide.count() == 3000
