@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pmflow.llm import token_counts, tokenizer, url_filter
+from pmflow.llm import decontaminate, token_counts, tokenizer, url_filter
 from pmflow.llm.common import documents
 
 #: Rules of the registered URL query: verdict, host, path.
@@ -33,6 +33,15 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokenizer.sha256("decoded").alias("decoded_sha256"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark words and items in every document."""
+    found = decontaminate.find_contamination(documents(spark, sf_dir).select("doc_id", "text"),
+                                             spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token count of every document."""
     counts = token_counts.count_tokens(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"),
@@ -47,9 +56,35 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op5_token_counts, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_decontaminate, op5_token_counts, op9_url_filter)}
 
 ORACLE: dict[str, str] = {
+    "op4_decontaminate": r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS win
+  FROM items, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE len(w) > 0),
+grams AS (
+  SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS win
+  FROM docs, (SELECT DISTINCT n FROM windows) AS k, unnest(range(1, len(w) - n + 2)) AS t(i)),
+found AS (SELECT r, i, grams.n, item FROM grams JOIN windows ON grams.n = windows.n AND grams.win = windows.win),
+hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM found, unnest(range(i, i + n)) AS t(p) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM found) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits ON docs.r = hits.r LEFT JOIN named ON docs.r = named.r
+""",
     "op9_url_filter": """
 WITH parts AS (
   SELECT row_number() OVER () AS r, page_id,
