@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pmflow.llm import decontaminate, token_counts, tokenizer, url_filter
+from pmflow.llm import decontaminate, minhash, token_counts, tokenizer, url_filter
 from pmflow.llm.common import documents
 
 #: Rules of the registered URL query: verdict, host, path.
@@ -22,6 +22,11 @@ URL_RULES = [
 TOKEN_LIMIT = 512
 
 
+def op1_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return minhash.near_duplicates(documents(spark, sf_dir))
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -56,7 +61,7 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op2_byte_bpe, op4_decontaminate, op5_token_counts, op9_url_filter)}
+QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op4_decontaminate, op5_token_counts, op9_url_filter)}
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": r"""
