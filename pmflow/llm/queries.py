@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pmflow.llm import decontaminate, minhash, token_counts, tokenizer, url_filter
+from pmflow.llm import decontaminate, hnsw, minhash, token_counts, tokenizer, url_filter
 from pmflow.llm.common import documents
 
 #: Rules of the registered URL query: verdict, host, path.
@@ -61,7 +61,13 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
-QUERIES = {f.__name__: f for f in (op1_minhash_dedup, op2_byte_bpe, op4_decontaminate, op5_token_counts, op9_url_filter)}
+def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest vectors of every twentieth one."""
+    return hnsw.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_minhash_dedup, op2_byte_bpe, op4_decontaminate, op5_token_counts, op9_url_filter, op10_hnsw_search)}
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": r"""
