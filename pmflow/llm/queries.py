@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pmflow.llm import decontaminate, hnsw, minhash, token_counts, tokenizer, url_filter
+from pmflow.llm import decontaminate, hnsw, html_extract, minhash, token_counts, tokenizer, url_filter
 from pmflow.llm.common import documents
 
 #: Rules of the registered URL query: verdict, host, path.
@@ -38,6 +38,13 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
                         tokenizer.sha256("decoded").alias("decoded_sha256"))
 
 
+def op3_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text",
+                                              F.char_length("text").cast("long").alias("n_chars"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark words and items in every document."""
     found = decontaminate.find_contamination(documents(spark, sf_dir).select("doc_id", "text"),
@@ -67,7 +74,8 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_byte_bpe, op4_decontaminate, op5_token_counts, op9_url_filter, op10_hnsw_search)}
+    op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts, op9_url_filter,
+    op10_hnsw_search)}
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": r"""
