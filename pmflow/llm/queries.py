@@ -7,7 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pmflow.llm import decontaminate, hnsw, html_extract, minhash, token_counts, tokenizer, url_filter
+from pmflow.llm import (
+    decontaminate,
+    hnsw,
+    html_extract,
+    minhash,
+    quality,
+    token_counts,
+    tokenizer,
+    toxicity,
+    url_filter,
+)
 from pmflow.llm.common import documents
 
 #: Rules of the registered URL query: verdict, host, path.
@@ -61,6 +71,20 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document."""
+    judged = toxicity.judge(documents(spark, sf_dir).select("doc_id", "text"),
+                            spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document."""
+    judged = quality.judge(documents(spark, sf_dir).select("doc_id", "text", "n_chars"),
+                           spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return judged.select("doc_id", "held_out", "score", "predicted")
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdict on every page's url."""
     values = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)
@@ -74,8 +98,8 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts, op9_url_filter,
-    op10_hnsw_search)}
+    op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts, op7_toxicity,
+    op8_quality, op9_url_filter, op10_hnsw_search)}
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": r"""
