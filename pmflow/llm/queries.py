@@ -13,12 +13,14 @@ from pmflow.llm import (
     html_extract,
     minhash,
     quality,
+    shards,
     token_counts,
     tokenizer,
     toxicity,
     url_filter,
 )
 from pmflow.llm.common import documents
+from pmflow.session import scratch_path
 
 #: Rules of the registered URL query: verdict, host, path.
 URL_RULES = [
@@ -28,6 +30,8 @@ URL_RULES = [
     ("allow", "com", "/fr/"),
     ("block", "com", "/de/"),
 ]
+#: The id that the multi-language vocabulary leaves free ends a document.
+END_TOKEN = 50256
 #: Tokens beyond which a document is over the limit.
 TOKEN_LIMIT = 512
 
@@ -71,6 +75,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"))
 
 
+def op6_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents as shards of sequences in training order, under the shared
+    checkpoint folder: one row per sequence."""
+    return shards.write_shards(documents(spark, sf_dir), scratch_path(spark, "shards"),
+                               public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN,
+                               END_TOKEN)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity of every document."""
     judged = toxicity.judge(documents(spark, sf_dir).select("doc_id", "text"),
@@ -98,8 +110,8 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts, op7_toxicity,
-    op8_quality, op9_url_filter, op10_hnsw_search)}
+    op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts,
+    op6_token_shards, op7_toxicity, op8_quality, op9_url_filter, op10_hnsw_search)}
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": r"""

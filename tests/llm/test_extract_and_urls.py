@@ -1,0 +1,74 @@
+"""Main text of pages, and verdicts on urls, against expected values."""
+
+from pmflow.llm import html_extract, url_filter
+
+P = "<p>This is a paragraph, with commas, and it is long enough to count as text of an article.</p>"
+T = "This is a paragraph, with commas, and it is long enough to count as text of an article."
+PAGES = [
+    (None, ""), ("", ""), (" \n ", ""), ("plain text", "plain text"), ("<p>a&amp;b&nbsp;c<br>d &#x41;", "a&b c d A"),
+    ("<html><nav><a href=x>m</a></nav><article><h1>T</h1><p><b>x\n y<br><p>z</article><footer>f</footer>", "T x y z"),
+    ('<article><p>x<script>var a="</article>";</script>y<style>p{}</style></p></article>', "xy"),
+    ("<article><ul><li>a<li>b</ul><table><tr><td>1<td>2</table></article>", "a b 1 2"),
+    (f'<div class="page no-sidebar"><article>{P}</article><div class=sidebar>{P}</div></div>', T),
+    (f'<body><div id="menu">{P}</div><div class="story">{P}{P}</div><div class="comments">{P}{P}{P}</div>'
+     f'<div class="ad">{P}</div><form>{P}</form><aside>{P}</aside><div role="navigation">{P}</div>', f"{T} {T}"),
+    (f'<main>{P}<section id="comment-list"><article>{P}</article></section><div hidden>{P}</div></main>', T),
+    (f'<div><ul>{"<li><a href=u>link text, one, two</a></li>" * 30}</ul></div><div>{P}</div>', T),
+    ("<p>one <i>two</i>three</p><!-- no --><p>four", "one twothree four"),
+    ("<div>" * 3000 + "deep", "deep"), ("<article>" + "<p>x, y</p>" * 20000 + "</article>", "x, y " * 19999 + "x, y"),
+]
+
+
+def test_main_text():
+    for html, text in PAGES:
+        assert html_extract.main_text(html) == text, (html or "")[:200]
+
+
+def test_extract_keeps_rows(spark):
+    rows = [(i % 5 or None, h, "old", "u") for i, (h, _) in enumerate(PAGES[:13] + PAGES[:2])]
+    df = spark.createDataFrame(rows, "page_id long, html string, TEXT string, url string")
+    got = html_extract.extract(df)
+    assert got.columns == ["page_id", "url", "text"]
+    expected = sorted((str(r[0]), t) for r, (_, t) in zip(rows, PAGES[:13] + PAGES[:2]))
+    assert sorted((str(r["page_id"]), r["text"]) for r in got.collect()) == expected
+    assert html_extract.extract(df.where("page_id < 0")).count() == 0
+
+
+RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
+         ("allow", "com", "/fr/"), ("block", "com", "/de/"), ("block", "tie.net", "/a"), ("allow", "tie.net", "/a"),
+         ("block", "UPPER.net", None), (None, None, "/x"), ("block", "", "/y")]
+URLS = {
+    "http://www.Example.ORG/es/1?q#f": ("www.example.org", "/es/1", "example.org/es/", "block"),
+    "https://example.org/en/12": ("example.org", "/en/12", "example.org/en/1", "block"),
+    "https://example.org/en/2": ("example.org", "/en/2", "org/", "allow"),
+    "https://badexample.org/es/2": ("badexample.org", "/es/2", "org/", "allow"),
+    "https://example.org": ("example.org", "", None, "allow"),
+    "https://example.org?x=/es/": ("example.org", "", None, "allow"),
+    "x://a.com/de/#/": ("a.com", "/de/", "com/de/", "block"),
+    "x://a.com.de/de/": ("a.com.de", "/de/", None, "allow"),
+    "x://tie.net/ab": ("tie.net", "/ab", "tie.net/a", "block"),
+    "x://q.upper.NET#/z": ("q.upper.net", "", "upper.net", "block"),
+    "a://b://c.com/de/": ("b:", "//c.com/de/", None, "allow"),
+    "no scheme/es/": ("", "", None, "allow"), "": ("", "", None, "allow"), "http://": ("", "", None, "allow"),
+    "http:///de/": ("", "/de/", None, "allow"), "http://É.com/fr/\nx": ("É.com", "/fr/\nx", "com/fr/", "allow"),
+    "http://a.com/de/" + "long/" * 5000: ("a.com", "/de/" + "long/" * 5000, "com/de/", "block"),
+}
+
+
+def test_verdicts(spark):
+    rows = [(i, u, "r", "d") for i, u in enumerate(URLS)] + [(None, None, "r", "d"), (0, next(iter(URLS)), "r", "d")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, rule string, digest string")
+    rules = spark.createDataFrame(RULES, "verdict string, host string, path string")
+    got = url_filter.judge(pages, rules)
+    assert got.columns == ["page_id", "host", "path", "rule", "verdict"]
+    expected = sorted(((i, *URLS[u]) if u is not None else (i, "", "", None, "allow") for i, u, _, _ in rows), key=str)
+    assert sorted(map(tuple, got.collect()), key=str) == expected
+    assert url_filter.judge(pages.where("page_id < 0"), rules).count() == 0
+    assert {r["verdict"] for r in url_filter.judge(pages, rules.where("path = 'none'")).collect()} == {"allow"}
+
+
+def test_native_plan(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/de/")], "page_id long, url string")
+    rules = spark.sql("SELECT * FROM VALUES ('block', 'com', '/de/') AS r(verdict, host, path)")
+    plan = url_filter.judge(pages, rules)._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"))

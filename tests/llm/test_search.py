@@ -1,0 +1,53 @@
+"""Vector search against brute force."""
+
+import numpy as np
+
+from pmflow.llm import hnsw
+
+
+def brute(rows, dim, k=20, every=20):
+    ok = [(i, np.array(v, float), n) for n, (i, v) in enumerate(rows) if i is not None and v is not None
+          and len(v) == dim and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = {}
+    for i, q, n in ok:
+        if i % every == 0:
+            near = sorted((-float(v @ q), j) for j, v, m in ok if m != n)
+            out.setdefault(i, []).append([j for _, j in near[:k]])
+    return out
+
+
+def test_recall_and_hot_vector(spark):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(20, 16))
+    vectors = centres[rng.integers(0, 20, 3000)] + 0.3 * rng.normal(size=(3000, 16))
+    vectors *= rng.uniform(0.5, 2.0, (3000, 1))  # norms differ: the product, not the angle, counts
+    vectors[500:1500] = vectors[500]  # one vector fills a third
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors)]
+    df = spark.createDataFrame([(*r, 1, "s") for r in rows],
+                               "vec_id long, embedding array<double>, rank int, shard string")
+    got = {}
+    for r in hnsw.search(df, shard_rows=700, block_rows=60).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    expected, hit, total = brute(rows, 16), 0, 0
+    assert got.keys() == expected.keys()
+    for q, found in got.items():
+        found.sort()
+        assert [r for r, _, _ in found] == list(range(1, 21))
+        assert all(abs(s - vectors[q] @ vectors[i]) < 1e-9 for _, i, s in found)
+        assert found == sorted(found, key=lambda x: (-x[2], x[1]))
+        hit += len({i for _, i, _ in found} & set(expected[q][0]))
+        total += 20
+    assert hit / total >= 0.97
+
+
+def test_edge_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (20, [0.0, 1.0]), (3, [2.0, 2.0]), (4, None), (None, [1.0, 1.0]),
+            (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [0.0, 0.0]), (8, []), (9, [1.0, 2.0, 3.0]), (40, [None, 1.0]),
+            (10, [-1.0, -0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["query_id"], r["rank"], r["vec_id"]) for r in hnsw.search(df).collect())
+    expected = sorted((q, n + 1, j) for q, lists in brute(rows, 2).items() for ids in lists for n, j in enumerate(ids))
+    assert got == expected
+    assert hnsw.search(df.where("vec_id < 0")).count() == 0
+    assert hnsw.search(df.where("vec_id = 0")).count() == 0  # the query's own row is no candidate
