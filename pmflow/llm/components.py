@@ -10,23 +10,12 @@ from pyspark.sql import functions as F
 from pmflow.llm.common import materialise
 
 
-def _star(pairs: DataFrame, small: bool) -> DataFrame:
-    """``pairs`` (u, v). Large star: the larger neighbours v of each u are
-    linked to the least of u and its neighbours. Small star: u and its smaller
-    neighbours are linked to the least of them."""
-    least = materialise(pairs.groupBy("u").agg(F.min("v").alias("m")), "least")
-    if small:
-        linked = pairs.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        linked = linked.union(least.select("u", F.col("m").alias("v")))
-    else:
-        linked = pairs.where("v > u").join(least, "u").select(
-            F.col("v").alias("u"), F.least("u", "m").alias("v"))
-    return linked.where("u != v").distinct()
-
-
-def _print(edges: DataFrame) -> tuple:
-    """Count and order-free checksum of an edge list."""
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _settled(pairs: DataFrame) -> bool:
+    """Whether the pairs (u, v) are stars: no u twice, no v that is a u too."""
+    ends = pairs.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("in_")).union(
+        pairs.select("v", F.lit(0), F.lit(1)))
+    return ends.groupBy("node").agg(F.sum("out").alias("out"), F.sum("in_").alias("in_")).where(
+        "out > 1 or out = 1 and in_ > 0").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -34,13 +23,16 @@ def components(edges: DataFrame) -> DataFrame:
     each node with an edge is linked with, over any number of edges."""
     now = materialise(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                       .where("u != v").distinct(), "edges")
-    seen = _print(now)
-    while seen[0]:
+    while not _settled(now):
+        # large star: the larger neighbours of a node are linked to the least
+        # of the node and its neighbours
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = materialise(_star(both, small=False), "large")
-        now = materialise(_star(large, small=True), "small")
-        if (new := _print(now)) == seen:
-            break
-        seen = new
+        least = materialise(both.groupBy("u").agg(F.min("v").alias("m")), "least")
+        large = materialise(both.where("v > u").join(least, "u").select(
+            F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct(), "large")
+        # small star: a node and its smaller neighbours to the least of them
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        linked = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = materialise(linked.union(least.select("u", F.col("m").alias("v"))).where("u != v").distinct(), "small")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select("v", "v").distinct())

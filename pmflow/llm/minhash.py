@@ -51,6 +51,11 @@ BITS = 4
 SLACK = 0.2
 #: Rounds of pivots at most, before what is left is compared in the join.
 PIVOT_ROUNDS = 6
+#: Pivots of a bucket in all rounds but the first.
+PIVOTS = 4
+#: Pairs of different components for each row of their buckets, on average, up
+#: to which the join compares what is left.
+CROSS_PAIRS = 64
 #: Words whose hashes a worker keeps.
 CACHE_WORDS = 500_000
 
@@ -210,11 +215,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     # buckets of several classes only
     members = materialise(members.join(shared.select("bucket"), "bucket").distinct(), "members")
-    links = _links(docs, key, text, classes, members)
-    if links is None:
-        found = rows.select("node").where("false").select("node", F.col("node").alias("component"))
-    else:
-        found = materialise(components(links), "components")
+    found = materialise(components(_links(docs, key, text, classes, members)), "components")
     named = classes.select("node", "key").join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node"))
     least = materialise(named.groupBy("component").agg(F.min("key").alias("component_id")), "least")
@@ -225,8 +226,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
                       F.col("_key").eqNullSafe(component).alias("kept"))
 
 
-def _links(docs: DataFrame, key: str, text: str, classes: DataFrame, members: DataFrame) -> DataFrame | None:
-    """All confirmed links that the components need, or None."""
+def _links(docs: DataFrame, key: str, text: str, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """Links (a, b) whose components are those of all confirmed links."""
     close = (PERCENT / 100) - SLACK
     sig = classes.select("node", "sig")
 
@@ -235,48 +236,42 @@ def _links(docs: DataFrame, key: str, text: str, classes: DataFrame, members: Da
         return pairs.join(a, "a").join(b, "b").where(
             estimate(F.col("sig_a"), F.col("sig_b")) >= close).select("a", "b")
 
-    texts = None
+    nodes = members.select("node").distinct().join(classes.select("node", "key"), "node")
+    texts = materialise(_texts(docs, key, text, nodes), "texts")  # of every class that may be in a pair
     links: DataFrame | None = None
     tried: DataFrame | None = None
     state = members.withColumn("component", F.col("node"))
     for turn in range(PIVOT_ROUNDS + 1):
-        last = turn == PIVOT_ROUNDS
-        if last:
-            pairs = _all_left(state, sig, close)
-        else:
-            # a bucket's pivot: by a hash that is another one each round
-            pivot = materialise(state.groupBy("bucket").agg(
-                F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("h"), "node", "component")).alias("p"))
-                .select("bucket", F.col("p.node").alias("pivot"), F.col("p.component").alias("of")), "pivots")
-            pairs = near(state.join(pivot, "bucket").where("component != of").select(
-                F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+        # a bucket's pivots: by hashes that are others each round
+        chosen = [F.min(F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)).alias("h"), "node", "component"))
+                  for k in range(PIVOTS if turn else 1)]
+        pivot = materialise(state.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("p")).select(
+            "bucket", F.explode("p").alias("p")).select(
+            "bucket", F.col("p.node").alias("pivot"), F.col("p.component").alias("of")), "pivots")
+        pairs = near(state.join(pivot, "bucket").where("component != of").select(
+            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = materialise(pairs, "candidates")
-        if texts is None:
-            # every class that may ever be in a pair
-            nodes = members.select("node").distinct().join(classes.select("node", "key"), "node")
-            texts = materialise(_texts(docs, key, text, nodes), "texts")
         new = materialise(_confirm(pairs, texts), "links")
-        links = new if links is None else links.union(new)
         tried = pairs if tried is None else tried.union(pairs)
-        if last:
-            break
+        links = new if links is None else links.union(new)
+        # what is known so far is a star forest: it stands for all links before
         found = materialise(components(links), "found")
+        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
         state = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # buckets that still hold several components
-        spread = state.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                             F.count(F.lit(1)).alias("size"))
-        open_ = materialise(spread.where("low != high").select("bucket", "size"), "open")
+        # buckets that still hold several components, and how many pairs of them
+        parts = state.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
+        open_ = materialise(parts.withColumn("across", F.expr("(n * n - inside) / 2")).where("across > 0"), "open")
+        across, rows = open_.agg(F.sum("across"), F.sum("n")).first()
+        if across is None:
+            return links
         state = materialise(state.join(open_.select("bucket"), "bucket"), "state")
-        size, pairs_left = open_.agg(F.max("size"), F.sum(F.expr("size * (size - 1)"))).first()
-        if size is None:
-            break
-        if turn and pairs_left <= 4 * state.count():  # small buckets only: compare what is left
-            final = materialise(_all_left(state, sig, close).join(tried, ["a", "b"], "left_anti"), "candidates")
-            links = links.union(materialise(_confirm(final, texts), "links"))
+        if across <= CROSS_PAIRS * rows:
             break
-    return links
+    final = materialise(_all_left(state, sig, close).join(tried, ["a", "b"], "left_anti"), "candidates")
+    return links.union(materialise(_confirm(final, texts), "links"))
 
 
 def _all_left(state: DataFrame, sig: DataFrame, close: float) -> DataFrame:
