@@ -57,6 +57,15 @@ def iso_to_unix(c: Column | str, allow_naive: bool = True) -> Column:
     return F.when(t.rlike(pattern), F.unix_seconds(F.try_to_timestamp(F.upper(t))))
 
 
+def iso_to_timestamp(c: Column | str) -> Column:
+    """RFC3339 text (with a zone) -> TIMESTAMP with its fraction, to the
+    microsecond; NULL when not parseable."""
+    # trimmed once: a text that fails the guard becomes NULL before it is parsed;
+    # digits beyond microseconds are cut by the parser
+    t = F.regexp_extract(F.upper(unicode_trim(col(c))), _RFC3339_RE, 0)
+    return F.try_to_timestamp(F.nullif(t, F.lit("")))
+
+
 def unix_to_iso(c: Column | str) -> Column:
     """unix seconds -> 'YYYY-MM-DDTHH:MM:SS+00:00'."""
     return F.date_format(F.timestamp_seconds(col(c)), "yyyy-MM-dd'T'HH:mm:ss'+00:00'")
@@ -84,17 +93,18 @@ def strict_address(c: Column | str) -> Column:
 
 
 def hex_to_long(c: Column | str) -> Column:
-    """'0x..' hex text -> LONG; NULL when malformed or wider than 63 bits."""
+    """'0x..' hex text, zero-padded or not -> LONG; NULL when malformed or
+    wider than 63 bits."""
     t = F.lower(F.trim(col(c)))
-    body = F.when(t.startswith("0x"), F.substring(t, 3, 1 << 20)).otherwise(t)
-    ok = body.rlike(r"^[0-9a-f]{1,16}$")
-    return F.when(ok, F.conv(body, 16, 10).try_cast("bigint"))
+    body = F.when(t.startswith("0x"), F.substr(t, F.lit(3))).otherwise(t)
+    digits = F.regexp_extract(body, r"^0*([0-9a-f]{1,16})$", 1)
+    return F.when(digits != "", F.conv(digits, 16, 10).try_cast("bigint"))
 
 
 def topic_to_address(c: Column | str) -> Column:
     """32-byte topic word -> '0x' + last 40 hex chars lowercased; '' if shorter."""
     t = F.trim(F.coalesce(col(c), F.lit("")))
-    body = F.when(t.startswith("0x") | t.startswith("0X"), F.substring(t, 3, 1 << 20)).otherwise(t)
+    body = F.when(t.startswith("0x") | t.startswith("0X"), F.substr(t, F.lit(3))).otherwise(t)
     return F.when(F.length(body) >= 40, F.concat(F.lit("0x"), F.lower(F.right(body, F.lit(40))))).otherwise(F.lit(""))
 
 
@@ -123,11 +133,3 @@ def cursor_key(c: Column | str) -> Column:
     t = F.trim(col(c))
     k = F.regexp_extract(t, r"(?m)^last_completed_file=(.*)$", 1)
     return F.when(k != "", F.trim(k)).otherwise(F.when(t != "", t))
-
-
-def eq_null_safe_all(left, right, keys) -> Column:
-    cond = None
-    for k in keys:
-        p = left[k].eqNullSafe(right[k])
-        cond = p if cond is None else cond & p
-    return cond

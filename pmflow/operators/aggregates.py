@@ -3,9 +3,10 @@
 Plan shape of ``wallet_topic_volume``:
 
     facts (pruned to ts_unix, maker, market_id, usd_amount; P7 filter pushed to the scan)
-      --left join--> topics (broadcast when proven small)
-      --explode trailing periods--> groupBy(wallet, period, topic)   partial+final hash agg
-      --window sum over (wallet, period)-->  share_of_wallet         (<= #topics rows per group)
+      --left join--> topics
+      --groupBy(wallet, topic), a sum and a count per trailing period   partial+final hash agg
+      --explode periods of the aggregated rows
+      --window sum over (wallet, period)-->  share_of_wallet            (<= #topics rows per group)
 
 Sums are exact DECIMAL (order independent, so reruns and the SQL oracle agree
 bit for bit) and are cast to DOUBLE once at the end.
@@ -19,8 +20,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pmflow.functions.exprs import unix_to_date
-from pmflow.operators.merge import broadcast_if_small
-from pmflow.operators.trades import BROADCAST_MAX_ROWS
 
 DAY = 86400
 SUM_TYPE = "decimal(38,6)"
@@ -39,7 +38,7 @@ def market_topics(markets: DataFrame) -> DataFrame:
     return markets.select("market_id", F.coalesce(F.col("topic_primary"), F.lit("other")).alias("topic"))
 
 
-def _maker_rows(facts: DataFrame, markets: DataFrame, broadcast_max_rows: int) -> DataFrame:
+def _maker_rows(facts: DataFrame, markets: DataFrame) -> DataFrame:
     """P7 + J3: ts > 0, lowercased maker non-empty, market non-empty; topic or 'other'.
 
     The filter is stated on the raw columns (lowercasing keeps a non-empty
@@ -50,34 +49,26 @@ def _maker_rows(facts: DataFrame, markets: DataFrame, broadcast_max_rows: int) -
                      & F.col("market_id").isNotNull() & (F.col("market_id") != ""))
     f = f.select("ts_unix", ascii_lower(F.col("maker")).alias("wallet"), "market_id",
                  F.coalesce(F.col("usd_amount"), F.lit(0.0)).alias("usd_amount"))
-    topics = broadcast_if_small(market_topics(markets), broadcast_max_rows)
-    j = f.join(topics, "market_id", "left")
+    j = f.join(market_topics(markets), "market_id", "left")
     return j.withColumn("topic", F.coalesce(F.col("topic"), F.lit("other")))
 
 
-def period_cutoffs(as_of: int, periods: Sequence[int] = (7, 30, 90)) -> Column:
-    """array<struct<period, cutoff>>; 'all' has no cutoff."""
-    items = [F.struct(F.lit("all").alias("period"), F.lit(None).cast("bigint").alias("cutoff"))]
-    items += [F.struct(F.lit(f"{d}d").alias("period"), F.lit(as_of - d * DAY).cast("bigint").alias("cutoff"))
-              for d in periods]
-    return F.array(*items)
-
-
 def wallet_topic_volume(facts: DataFrame, markets: DataFrame, *, as_of: int,
-                        periods: Sequence[int] = (7, 30, 90),
-                        broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                        periods: Sequence[int] = (7, 30, 90)) -> DataFrame:
     """Maker USD volume, trade count and share of wallet per (wallet, topic, period).
 
     A row counts in every trailing period whose cutoff ``as_of - N days`` it
     reaches (inclusive; no upper bound, so future rows count everywhere).
     """
-    rows = _maker_rows(facts, markets, broadcast_max_rows)
-    ts = F.col("ts_unix")
-    hits = F.filter(period_cutoffs(as_of, periods), lambda p: p["cutoff"].isNull() | (ts >= p["cutoff"]))
-    exploded = rows.select("wallet", "topic", "usd_amount", F.explode(hits).alias("p"))
-    agg = (exploded.groupBy("wallet", F.col("p.period").alias("period"), "topic")
-           .agg(F.sum(F.col("usd_amount").cast(SUM_TYPE)).alias("vol"),
-                F.count(F.lit(1)).alias("trade_count")))
+    rows = _maker_rows(facts, markets)
+    amount = F.col("usd_amount").cast(SUM_TYPE)
+    # The trailing periods and their cutoffs; 'all' has none. A row adds to
+    # each period's sum in place, so no raw row is copied
+    spans = [("all", F.lit(True)), *[(f"{d}d", F.col("ts_unix") >= as_of - d * DAY) for d in periods]]
+    sums = [F.struct(F.lit(name).alias("period"), F.sum(F.when(inside, amount)).alias("vol"),
+                     F.count_if(inside).alias("trade_count")) for name, inside in spans]
+    agg = rows.groupBy("wallet", "topic").agg(F.array(*sums).alias("periods"))
+    agg = agg.select("wallet", "topic", F.inline(F.filter("periods", lambda p: p["trade_count"] > 0)))
     total = F.sum("vol").over(Window.partitionBy("wallet", "period"))
     return agg.select(
         F.col("wallet").alias("proxy_address"),
@@ -88,8 +79,7 @@ def wallet_topic_volume(facts: DataFrame, markets: DataFrame, *, as_of: int,
         F.when(total > 0, F.col("vol").cast("double") / total.cast("double")).alias("share_of_wallet"))
 
 
-def global_daily(facts: DataFrame, markets: DataFrame, *, unique_wallets: str = "none",
-                 broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def global_daily(facts: DataFrame, markets: DataFrame, *, unique_wallets: str = "none") -> DataFrame:
     """D15 (+X4): per (UTC date, topic) maker volume and trade count.
 
     ``unique_wallets``: 'none' (NULL, as the reference writes), 'exact'
@@ -97,7 +87,7 @@ def global_daily(facts: DataFrame, markets: DataFrame, *, unique_wallets: str =
     (date, topic, wallet) first, so a hot day is spread by wallet), or
     'approx' (HyperLogLog++ sketch, mergeable and fixed-size per group).
     """
-    rows = _maker_rows(facts, markets, broadcast_max_rows).withColumn("stat_date", unix_to_date("ts_unix"))
+    rows = _maker_rows(facts, markets).withColumn("stat_date", unix_to_date("ts_unix"))
     aggs = [F.sum(F.col("usd_amount").cast(SUM_TYPE)).cast("double").alias("volume_usd"),
             F.count(F.lit(1)).alias("trade_count")]
     if unique_wallets == "exact":

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pmflow.functions.exprs import first_nonempty, iso_to_unix
+from pmflow.functions.exprs import first_nonempty, iso_to_timestamp
 from pmflow.functions.taxonomy import topic_of
 from pmflow.operators.merge import pick_per_key, upsert
 
@@ -54,18 +54,30 @@ def _vnumeric(v: Column, path: str) -> Column:
                   | (t == "STRING"), num)
 
 
+def _strings(elements: Column) -> Column:
+    """The string elements of an array of variants, others left out."""
+    return F.transform(F.filter(elements, lambda e: F.schema_of_variant(e) == "STRING"),
+                       lambda e: F.try_variant_get(e, "$", "string"))
+
+
+def _encoded_strings(text: Column) -> Column:
+    """A text that holds a JSON array of nothing but strings, else NULL."""
+    elements = F.try_variant_get(F.try_parse_json(text), "$", "array<variant>")
+    return F.when(F.forall(elements, lambda e: F.schema_of_variant(e) == "STRING"), _strings(elements))
+
+
 def _varray(v: Column, path: str) -> Column:
-    """a real JSON array of strings, or a string holding one; else []."""
+    """the strings of a real JSON array, or of a text that holds an array
+    of strings only; else []."""
     t = _vtype(v, path)
-    real = F.try_variant_get(v, path, "array<string>")
-    enc = F.try_variant_get(F.try_parse_json(_vstr(v, path)), "$", "array<string>")
-    arr = F.when(F.startswith(t, F.lit("ARRAY")), real).when(t == "STRING", enc)
+    real = _strings(F.try_variant_get(v, path, "array<variant>"))
+    arr = F.when(F.startswith(t, F.lit("ARRAY")), real).when(t == "STRING", _encoded_strings(_vstr(v, path)))
     return F.coalesce(arr, F.array().cast("array<string>"))
 
 
 def _ts_from(c: Column) -> Column:
-    """F8: RFC3339 text -> TIMESTAMP (UTC), else NULL."""
-    return F.timestamp_seconds(iso_to_unix(c, allow_naive=False))
+    """F8: RFC3339 text -> TIMESTAMP (UTC) with its fraction, else NULL."""
+    return iso_to_timestamp(c)
 
 
 def explode_market_pages(pages: DataFrame, *, page_col: str = "page") -> DataFrame:
@@ -73,7 +85,8 @@ def explode_market_pages(pages: DataFrame, *, page_col: str = "page") -> DataFra
     JSON document per market (``doc``). A page that is not an array yields
     nothing; the page is parsed once and each element re-serialized."""
     arr = F.try_variant_get(F.try_parse_json(F.col(page_col)), "$", "array<variant>")
-    return pages.select(F.explode(arr).alias("m")).select(F.to_json("m").alias("doc"))
+    order = [c for c in ("source_file", "row_index") if c in pages.columns]
+    return pages.select(*order, F.posexplode(arr).alias("pos", "m")).select(F.to_json("m").alias("doc"), *order, "pos")
 
 
 def normalize_markets_json(docs: DataFrame, *, doc_col: str = "doc", as_of: int) -> DataFrame:
@@ -82,7 +95,8 @@ def normalize_markets_json(docs: DataFrame, *, doc_col: str = "doc", as_of: int)
     ``as_of`` stands for the reference's ``now()`` in fetched_at.
     """
     v = F.try_parse_json(F.col(doc_col))
-    d = docs.select(v.alias("v"))
+    order = [c for c in ("source_file", "row_index", "pos") if c in docs.columns]
+    d = docs.select(v.alias("v"), *order)
     v = F.col("v")
     outcomes = _varray(v, "$.outcomes")
     tokens = _varray(v, "$.clobTokenIds")
@@ -102,7 +116,7 @@ def normalize_markets_json(docs: DataFrame, *, doc_col: str = "doc", as_of: int)
         F.coalesce(_vstr(v, "$.events[0].ticker"), F.lit("")).alias("ticker"),
         _ts_from(_vstr(v, "$.closedTime")).alias("closed_time"),
         _ts_from(_vstr(v, "$.createdAt")).alias("created_at"),
-        F.timestamp_seconds(F.lit(as_of)).alias("fetched_at"))
+        F.timestamp_seconds(F.lit(as_of)).alias("fetched_at"), *order)
     return out.filter(F.coalesce(F.col("market_id"), F.lit("")) != "")
 
 
@@ -139,9 +153,8 @@ def normalize_markets_parquet(df: DataFrame, *, as_of: int, ref_alias_bug: bool
         bool_names = []
     neg = F.coalesce(*[F.col(n).cast("boolean") for n in bool_names], F.lit(False)) if bool_names \
         else F.lit(False)
-    outcomes = F.coalesce(F.from_json(_text_alias(df, ["outcomes"]), "array<string>"),
-                          F.array().cast("array<string>"))
-    tokens = F.coalesce(F.from_json(_text_alias(df, PARQUET_ALIASES["clobTokenIds"]), "array<string>"),
+    outcomes = F.coalesce(_encoded_strings(_text_alias(df, ["outcomes"])), F.array().cast("array<string>"))
+    tokens = F.coalesce(_encoded_strings(_text_alias(df, PARQUET_ALIASES["clobTokenIds"])),
                         F.array().cast("array<string>"))
     vol = F.col("volume").cast("string").try_cast("double").try_cast(VOLUME_TYPE) \
         if "volume" in df.columns and dict(df.dtypes)["volume"] == "string" else F.lit(None).cast(VOLUME_TYPE)
@@ -183,8 +196,8 @@ def upsert_markets(existing: DataFrame | None, incoming: DataFrame, *, order=Non
     enrichment state of existing rows survive. Duplicate ids in one batch:
     the last in ``order`` wins (a later upsert overwrites an earlier one)."""
     if order is None:
-        order = ["source_file", "row_index"] if "row_index" in incoming.columns else \
-            [c for c in incoming.columns if c != "market_id"]
+        writer = [c for c in ("source_file", "row_index", "pos") if c in incoming.columns]
+        order = writer + [c for c in incoming.columns if c not in ("market_id", *writer)]
     inc = pick_per_key(incoming, ["market_id"], order, last=True)
     inc = empty_dim_columns(inc)
     if existing is None:

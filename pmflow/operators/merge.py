@@ -2,16 +2,19 @@
 
 Design for skew: "first/last writer wins" is an aggregation
 ``min/max(struct(order..., payload...))`` grouped by the key, not a
-``row_number()`` window. Hash aggregation combines map-side, so a key that
-holds a third of all rows is reduced inside every map task before the
-shuffle, and no task ever holds a whole group.
+``row_number()`` window. The aggregate (sort-based: a struct is no mutable
+buffer type) combines map-side, so a key that holds a third of all rows is
+reduced inside every map task before the shuffle, and no task ever holds a
+whole group.
+
+No lookup is broadcast by hand: Spark's own byte threshold and AQE decide from
+measured sizes, and no job runs while a plan is built.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -84,27 +87,3 @@ def combine(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str]
     u = incoming if existing is None else existing.select(*incoming.columns).unionByName(incoming)
     fns = {"min": F.min, "max": F.max, "sum": F.sum}
     return u.groupBy(*keys).agg(*[fns[f](c).alias(c) for c, f in aggs.items()])
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check is a bounded count (``limit(max_rows + 1)``), so it never scans
-    more than the bound. Beyond it the join is left to the planner (sort-merge
-    with AQE skew splitting).
-    """
-    return checked_broadcast(df, max_rows)[0]
-
-
-def checked_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """``broadcast_if_small`` that also says whether the bound held."""
-    if max_rows <= 0:
-        return df, False
-    # persist so the check and the join read the dimension once; its size is
-    # bounded by max_rows when it stays cached
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = cached.limit(max_rows + 1).count()
-    if n <= max_rows:
-        return F.broadcast(cached), True
-    cached.unpersist()
-    return df, False

@@ -3,8 +3,8 @@
 
 Plan shape of ``classify_trades`` (one pass over raw trades):
 
-    trades --left join--> block_times   (sort-merge, AQE skew split; broadcast if proven small)
-           --left join--> token_map     (broadcast if proven small)
+    trades --left join--> block_times   (sort-merge with AQE skew split, or broadcast by measured bytes)
+           --left join--> token_map     (likewise)
            --> one projection computing every derived column and the reject reason
 
 Only built-in expressions: the whole derivation runs in whole-stage codegen.
@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pmflow.functions.exprs import USDC_ASSET, amount_text, iso_to_unix, parse_amount, scaled_double
-from pmflow.operators.merge import broadcast_if_small, checked_broadcast, insert_if_absent, pick_per_key, total_order
+from pmflow.operators.merge import insert_if_absent, pick_per_key, total_order
 
 FACT_COLUMNS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
                 "taker_direction", "price", "usd_amount", "token_amount", "transaction_hash",
@@ -36,9 +36,6 @@ KEYED_KEY = ["transaction_hash", "maker", "taker", "ts_unix"]
 REJECT_REASONS = ["no_block", "empty_field", "bad_amount", "no_market", "zero_denominator",
                   "non_positive_price"]
 
-# Row-count bound below which a dimension is broadcast (checked, see broadcast_if_small).
-BROADCAST_MAX_ROWS = 2_000_000
-
 
 def _order_of(df: DataFrame, fallback: Sequence[str]) -> list[str]:
     """Writer order: (source_file, row_index) when the scan recorded them."""
@@ -74,7 +71,7 @@ def token_map(markets: DataFrame) -> DataFrame:
     return pick_per_key(e, ["asset_id"], ["market_id", "side"], last=True)
 
 
-def _normalized_raw(trades: DataFrame) -> DataFrame:
+def normalized_raw(trades: DataFrame) -> DataFrame:
     """Defaults of the lenient reader: NULL ids -> '0', NULL amounts -> '0',
     NULL text -> '', NULL block -> 0, negative log index -> 0."""
     cols = set(trades.columns)
@@ -84,9 +81,9 @@ def _normalized_raw(trades: DataFrame) -> DataFrame:
 
     extra = [c for c in ("source_file", "row_index") if c in cols]
     return trades.select(
-        (F.coalesce(F.col("block_number").cast("bigint"), F.lit(0)) if "block_number" in cols
+        (F.coalesce(F.col("block_number").try_cast("bigint"), F.lit(0)) if "block_number" in cols
          else F.lit(0).cast("bigint")).alias("block_number"),
-        (F.greatest(F.coalesce(F.col("log_index").cast("bigint"), F.lit(0)), F.lit(0)) if "log_index" in cols
+        (F.greatest(F.coalesce(F.col("log_index").try_cast("bigint"), F.lit(0)), F.lit(0)) if "log_index" in cols
          else F.lit(0).cast("bigint")).alias("log_index"),
         s("transaction_hash", "").alias("transaction_hash"),
         s("order_hash", "").alias("order_hash"),
@@ -134,31 +131,10 @@ def _derive(t: DataFrame, ts: Column, drop_non_positive_price: bool) -> DataFram
         reason.alias("reject_reason"))
 
 
-def block_lookup(trades: DataFrame, blocks: DataFrame, broadcast_max_rows: int) -> DataFrame:
-    """Block times for the blocks this batch of trades references.
-
-    A chain has one block per ~2 s, so the full block table can outgrow any
-    broadcast. When it fails the bounded count, it is narrowed with a
-    semi-join on the distinct trade blocks (a one-column scan and a partial
-    aggregate), then broadcast if that proves small; otherwise the join stays
-    a sort-merge join (AQE splits a hot block).
-    ``broadcast_max_rows=0`` means the caller already decided (streaming).
-    """
-    bt = blocks.select("block_number", "ts_unix")
-    if broadcast_max_rows <= 0:
-        return bt
-    small, ok = checked_broadcast(bt, broadcast_max_rows)
-    if ok:
-        return small
-    needed = trades.select("block_number").distinct()
-    return broadcast_if_small(bt.join(needed, "block_number", "left_semi"), broadcast_max_rows)
-
-
-def _lookup_asset(t: DataFrame, tokens: DataFrame, broadcast_max_rows: int) -> DataFrame:
+def _lookup_asset(t: DataFrame, tokens: DataFrame) -> DataFrame:
     t = t.withColumn("asset_id", F.when(F.col("maker_asset_id") != USDC_ASSET, F.col("maker_asset_id"))
                      .otherwise(F.col("taker_asset_id")))
-    tm = broadcast_if_small(tokens.select("asset_id", "market_id", "side"), broadcast_max_rows)
-    return t.join(tm, "asset_id", "left")
+    return t.join(tokens.select("asset_id", "market_id", "side"), "asset_id", "left")
 
 
 def resolve_block_times(trades: DataFrame, blocks: DataFrame, mode: str = "exact", *,
@@ -176,20 +152,23 @@ def resolve_block_times(trades: DataFrame, blocks: DataFrame, mode: str = "exact
     return it.filter(F.col("ts_unix").isNotNull()).select("block_number", "ts_unix")
 
 
-def classify_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
-                    broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def classify_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame) -> DataFrame:
     """Every raw trade with its derived fact columns and ``reject_reason`` (NULL = accepted).
 
     ``blocks`` is a block_times frame (block_number, ts_unix).
     """
-    t = _with_amounts(_normalized_raw(trades))
-    bt = block_lookup(t, blocks, broadcast_max_rows)
-    t = t.join(bt.withColumnRenamed("ts_unix", "_bts"), "block_number", "left")
-    t = _lookup_asset(t, tokens, broadcast_max_rows)
+    t = _with_amounts(normalized_raw(trades))
+    t = t.join(blocks.select("block_number", F.col("ts_unix").alias("_bts")), "block_number", "left")
+    t = _lookup_asset(t, tokens)
     return _derive(t, F.col("_bts"), drop_non_positive_price=True)
 
 
-def _fact_projection(c: DataFrame, extra=()) -> DataFrame:
+def stat_month() -> Column:
+    """The UTC month of a trade, by which facts are stored: 'yyyy-MM'."""
+    return F.date_format(F.timestamp_seconds("ts_unix"), "yyyy-MM")
+
+
+def fact_projection(c: DataFrame, extra=()) -> DataFrame:
     """The 13 fact columns (plus ``extra`` pass-through columns)."""
     return c.select(
         "ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction", "taker_direction",
@@ -198,16 +177,16 @@ def _fact_projection(c: DataFrame, extra=()) -> DataFrame:
         "transaction_hash", "order_hash", "log_index", *extra)
 
 
-def build_fact_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *, dedupe: bool = False,
-                      broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+def build_fact_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
+                      dedupe: bool = False) -> tuple[DataFrame, DataFrame]:
     """D3 (+X2, X3): columnar facts and the rejected rows with their reason.
 
     ``dedupe=True`` keeps one fact per (transaction_hash, log_index): the
     first in writer order (``source_file``, ``row_index``) or, without them,
     under a total order of the fact columns.
     """
-    c = classify_trades(trades, blocks, tokens, broadcast_max_rows=broadcast_max_rows)
-    facts = _fact_projection(c.filter(F.col("reject_reason").isNull()))
+    c = classify_trades(trades, blocks, tokens)
+    facts = fact_projection(c.filter(F.col("reject_reason").isNull()))
     if dedupe:
         facts = dedupe_facts(facts)
     rejects = c.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS)
@@ -220,8 +199,7 @@ REJECT_COLUMNS = ["block_number", "log_index", "transaction_hash", "order_hash",
 REPLAYABLE = ["no_block", "no_market"]
 
 
-def replay_rejects(rejects: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
-                   broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> tuple[DataFrame, DataFrame]:
+def replay_rejects(rejects: DataFrame, blocks: DataFrame, tokens: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Late data (I9): re-classify rows rejected for a missing block or market
     against the current block times and token map. Returns (recovered facts,
     rejects that remain); rows rejected for other reasons stay as they were.
@@ -232,8 +210,8 @@ def replay_rejects(rejects: DataFrame, blocks: DataFrame, tokens: DataFrame, *,
     extra = [c for c in rejects.columns if c not in REJECT_COLUMNS]
     retry = rejects.filter(F.col("reject_reason").isin(*REPLAYABLE)).drop("reject_reason")
     keep = rejects.filter(~F.col("reject_reason").isin(*REPLAYABLE))
-    c = classify_trades(retry, blocks, tokens, broadcast_max_rows=broadcast_max_rows)
-    recovered = _fact_projection(c.filter(F.col("reject_reason").isNull()), extra=extra)
+    c = classify_trades(retry, blocks, tokens)
+    recovered = fact_projection(c.filter(F.col("reject_reason").isNull()), extra=extra)
     still = c.filter(F.col("reject_reason").isNotNull()).select(*REJECT_COLUMNS, *extra)
     return recovered, keep.select(*REJECT_COLUMNS, *extra).unionByName(still)
 
@@ -251,8 +229,7 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
 
 
 def build_staging(trades: DataFrame, blocks: DataFrame, existing: DataFrame | None = None, *,
-                  order: Sequence[str] | None = None,
-                  broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                  order: Sequence[str] | None = None) -> DataFrame:
     """Staged order fills. Unresolved block time -> 0; rows with an empty
     maker, taker or tx hash dropped; amounts kept as text; insert-if-absent on
     the staging key, first writer wins.
@@ -260,9 +237,8 @@ def build_staging(trades: DataFrame, blocks: DataFrame, existing: DataFrame | No
     The writer order travels along as the struct column ``ingest_order`` (the
     reference's serial id), so the keyed step can keep "first wins".
     """
-    t = _normalized_raw(trades)
-    bt = broadcast_if_small(blocks.select("block_number", "ts_unix"), broadcast_max_rows)
-    t = t.join(bt, "block_number", "left")
+    t = normalized_raw(trades)
+    t = t.join(blocks.select("block_number", "ts_unix"), "block_number", "left")
     t = t.filter((F.col("maker") != "") & (F.col("taker") != "") & (F.col("transaction_hash") != ""))
     if order is None:
         order = _order_of(t, total_order(t.drop("ts_unix"), ["block_number", "log_index"]))
@@ -275,8 +251,7 @@ def build_staging(trades: DataFrame, blocks: DataFrame, existing: DataFrame | No
 
 
 def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: DataFrame | None = None, *,
-                            source: str = "batch_pipeline",
-                            broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                            source: str = "batch_pipeline") -> DataFrame:
     """Relational facts from staged fills (``timestamp_i64`` resolved,
     ``ingest_order`` = insertion order).
 
@@ -289,7 +264,7 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
         "maker_asset_id", "taker_asset_id",
         F.col("maker_amount_filled").alias("maker_amount"), F.col("taker_amount_filled").alias("taker_amount"),
         "ingest_order")
-    t = _lookup_asset(_with_amounts(t), tokens, broadcast_max_rows)
+    t = _lookup_asset(_with_amounts(t), tokens)
     d = _derive(t, F.col("_ts_in"), drop_non_positive_price=False)
     # one CASE over both join sides: Catalyst cannot split it into conjuncts and
     # push the amount checks below the token join (which would re-run the parse)
@@ -307,20 +282,18 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
 
 
 def build_fact_trades_direct(trades: DataFrame, blocks: DataFrame, tokens: DataFrame,
-                             existing: DataFrame | None = None, *,
-                             broadcast_max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                             existing: DataFrame | None = None) -> DataFrame:
     """Relational facts straight from raw trades: inner block join (drop
     unresolved), empty fields dropped, no price <= 0 test, key dedupe."""
-    t = _normalized_raw(trades)
-    bt = broadcast_if_small(blocks.select("block_number", "ts_unix"), broadcast_max_rows)
-    t = t.join(bt, "block_number", "inner").filter(F.col("ts_unix") > 0)
+    t = normalized_raw(trades)
+    t = t.join(blocks.select("block_number", "ts_unix"), "block_number", "inner").filter(F.col("ts_unix") > 0)
     t = t.filter((F.col("maker") != "") & (F.col("taker") != "") & (F.col("transaction_hash") != ""))
     order = _order_of(t, total_order(t.drop("ts_unix"), ["block_number", "log_index"]))
     staged = t.select(F.col("ts_unix").alias("timestamp_i64"), "maker", "maker_asset_id",
                       F.col("maker_amount").alias("maker_amount_filled"), "taker", "taker_asset_id",
                       F.col("taker_amount").alias("taker_amount_filled"), "transaction_hash",
                       F.struct(*[F.col(o) for o in order]).alias("ingest_order"))
-    return build_fact_trades_keyed(staged, tokens, existing, broadcast_max_rows=broadcast_max_rows)
+    return build_fact_trades_keyed(staged, tokens, existing)
 
 
 def next_id_batch(df: DataFrame, last_id: int, limit: int = 50_000, id_col: str = "id",

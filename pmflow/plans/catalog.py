@@ -548,7 +548,8 @@ def q_enrichment_candidates(spark, sf_dir):
 
 
 def _err_sql():
-    reasons = " ".join(f"WHEN {k} THEN '{v}'" for k, v in en.HTTP_REASONS.items())
+    quoted = {k: v.replace("'", "''") for k, v in en.HTTP_REASONS.items()}
+    reasons = " ".join(f"WHEN {k} THEN '{v}'" for k, v in quoted.items())
     return (f"CASE WHEN r.http_status IS NULL THEN 'request error: ' || coalesce(r.error, '') "
             f"WHEN r.http_status = 429 THEN '429 too many requests' "
             f"ELSE 'http status ' || CAST(r.http_status AS VARCHAR) || ' ' || "
@@ -928,19 +929,28 @@ def q_stream_wallets(spark, sf_dir):
     return _wallets_text(stm.read_wallets(spark, f"{base}/wallets"))
 
 
-@query("stream_fact_trades_dedup", oracle(
-    "SELECT DISTINCT transaction_hash, log_index, ts_unix FROM facts", _FX_TRADES, _facts_ctes()))
+_RAW_ORDER = ["maker", "taker", "maker_asset_id", "taker_asset_id", "maker_amount", "taker_amount"]
+_FIRST_FACTS = _ORACLE_CLASSIFY.replace(
+    "FROM classified WHERE reject_reason IS NULL)",
+    "FROM (SELECT *, row_number() OVER (PARTITION BY transaction_hash, log_index ORDER BY "
+    + ", ".join(_RAW_ORDER) + ") AS rn FROM classified WHERE reject_reason IS NULL) WHERE rn = 1)")
+
+
+@query("stream_fact_trades_dedup", oracle("SELECT * FROM facts", _FX_TRADES,
+                                          [_ORACLE_BT, _ORACLE_TM, _FIRST_FACTS]))
 def q_stream_fact_trades_dedup(spark, sf_dir):
-    """Streaming dedupe on (transaction_hash, log_index) with a watermark
-    wide enough for the fixture's disorder (order dates span ten years)."""
+    """Streaming dedupe on (transaction_hash, log_index), the first in writer
+    order; the raw trades are landed twice, in files of other names."""
     t, bt, tm = _inputs(spark, sf_dir)
     base = scratch_path(spark, "stream-dedup")
     landing = f"{base}/landing/trades"
-    t.fx_trades.repartitionByRange(STREAM_FILES, "block_number", "log_index").write.parquet(landing)
+    t.fx_trades.repartitionByRange(STREAM_FILES, "block_number", "log_index").sortWithinPartitions(
+        "block_number", "log_index", *_RAW_ORDER).write.parquet(f"{landing}/a")
+    t.fx_trades.repartition(4, "log_index").write.parquet(f"{landing}/b")
     q = stm.stream_fact_trades_dedup(spark, landing, bt, tm, out_path=f"{base}/facts",
-                                     checkpoint=f"{base}/_ckpt", watermark="3700 days", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+                                     checkpoint=f"{base}/_ckpt", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
-    return spark.read.parquet(f"{base}/facts").select("transaction_hash", "log_index", "ts_unix")
+    return spark.read.parquet(f"{base}/facts").select(*tr.FACT_COLUMNS)
 
 
 @query("listing_sample", oracle(

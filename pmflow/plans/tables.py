@@ -13,19 +13,28 @@ from __future__ import annotations
 import time
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
 
 VERSION_LOG = "_versions"
+LOG_SCHEMA = "table string, version string, path string, committed_ms long, tag string"
 
 
 def _log_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}/{VERSION_LOG}"
 
 
-def write_version(df: DataFrame, root: str, name: str, *, partition_by: list[str] | None = None) -> str:
-    """Write ``df`` as a new version of table ``name``; commit it last."""
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is anything at ``path``, on whatever filesystem it names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def write_version(df: DataFrame, root: str, name: str, *, partition_by: list[str] | None = None,
+                  tag: str | None = None) -> str:
+    """Write ``df`` as a new version of table ``name``; commit it last. ``tag``
+    says which input the version holds (see ``current_tag``)."""
     spark = df.sparkSession
     version = f"v{int(time.time() * 1000)}-{uuid.uuid4().hex[:8]}"
     path = f"{root.rstrip('/')}/{name}/{version}"
@@ -33,21 +42,41 @@ def write_version(df: DataFrame, root: str, name: str, *, partition_by: list[str
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    commit = spark.createDataFrame([(name, version, path, int(time.time() * 1000))],
-                                   "table string, version string, path string, committed_ms long")
+    commit = spark.createDataFrame([(name, version, path, int(time.time() * 1000), tag)], LOG_SCHEMA)
     commit.coalesce(1).write.mode("append").parquet(_log_path(root, name))
     return path
 
 
+def _commits(spark: SparkSession, root: str, name: str) -> DataFrame | None:
+    path = _log_path(root, name)
+    if not exists(spark, path):
+        return None
+    return spark.read.schema(LOG_SCHEMA).parquet(path)
+
+
 def current_path(spark: SparkSession, root: str, name: str) -> str | None:
-    try:
-        log = spark.read.parquet(_log_path(root, name))
-    except AnalysisException:
+    log = _commits(spark, root, name)
+    if log is None:
         return None
     row = log.orderBy(F.col("committed_ms").desc(), F.col("version").desc()).select("path").first()
     return row[0] if row else None
 
 
+def current_tag(spark: SparkSession, root: str, name: str) -> str | None:
+    log = _commits(spark, root, name)
+    if log is None:
+        return None
+    row = log.orderBy(F.col("committed_ms").desc(), F.col("version").desc()).select("tag").first()
+    return row[0] if row else None
+
+
+def committed(spark: SparkSession, root: str, name: str, tag: str) -> bool:
+    """Whether some version was committed with ``tag``: a replayed input is not
+    applied twice."""
+    log = _commits(spark, root, name)
+    return log is not None and not log.where(F.col("tag") == tag).isEmpty()
+
+
 def read_current(spark: SparkSession, root: str, name: str) -> DataFrame | None:
     p = current_path(spark, root, name)
     return spark.read.parquet(p) if p else None
@@ -69,15 +98,34 @@ def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> N
 
 
 def read_or_none(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table at ``path``, None if nothing is there (no folder, or no file in
+    it: a partitioned write of no rows); other errors rise."""
+    if not exists(spark, path):
+        return None
+    r = spark.read
+    if schema is not None:
+        r = r.schema(schema)
     try:
-        r = spark.read
-        if schema is not None:
-            r = r.schema(schema)
         return r.parquet(path)
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         return None
 
 
+def write_batch(df: DataFrame, path: str, batch: int, partition_by: list[str] | None = None) -> None:
+    """One numbered batch of a table: a batch that runs again replaces itself."""
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.parquet(f"{path}/batch={batch}")
+
+
+def earlier(table: DataFrame | None, batch: int) -> DataFrame | None:
+    """The rows of the batches before ``batch`` (a partition filter)."""
+    return table if table is None else table.where(F.col("batch") < batch)
+
+
 def write_by_chunk(df: DataFrame, path: str, chunk_size: int, *, block_col: str = "block_number") -> None:
     """Blocks / trades stored per block range: partition ``chunk_start`` =
     block - block mod chunk_size; dynamic overwrite, so a re-fetched range

@@ -94,17 +94,18 @@ def test_token_collision_highest_market_then_token2(spark):
     assert got["6"] == ("b", "token1") and got["5"] == ("a", "token1")
 
 
-def test_block_lookup_narrows_large_block_table(spark):
-    import contextlib
-    import io
+def test_no_job_while_a_plan_is_built(spark):
     blocks = spark.range(0, 5000).selectExpr("id AS block_number", "id * 10 + 1000000 AS ts_unix")
-    trades = spark.range(0, 300).selectExpr("id * 7 AS block_number")
-    bt = tr.block_lookup(trades, blocks, 1000)  # 5000 blocks fail the bound; the 300 referenced pass
-    assert bt.count() == 300
-    buf = io.StringIO()
-    with contextlib.redirect_stdout(buf):
-        trades.join(bt, "block_number", "left").explain()
-    assert "BroadcastHashJoin" in buf.getvalue()
-    # beyond the bound even after narrowing: no broadcast hint, a plain join
-    wide = tr.block_lookup(spark.range(0, 3000).selectExpr("id AS block_number"), blocks, 1000)
-    assert wide.count() == 3000
+    tokens = spark.range(0, 50).selectExpr("CAST(id AS STRING) AS asset_id", "'m' AS market_id", "'token1' AS side")
+    trades = spark.range(0, 300).selectExpr("id * 7 AS block_number", "'0xt' AS transaction_hash", "'0xa' AS maker",
+                                            "'0xb' AS taker", "'7' AS maker_asset_id", "'5' AS maker_amount",
+                                            "'2' AS taker_amount")
+    spark.sparkContext.setJobGroup("plan", "plan only")
+    facts, rejects = tr.build_fact_trades(trades, blocks, tokens)
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup("plan")
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 0
+    for threshold in ("10m", "-1"):  # a small lookup, and one that is never broadcast: the same rows
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        assert facts.count() == 300 and rejects.count() == 0
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
