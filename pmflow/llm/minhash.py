@@ -11,11 +11,12 @@ linked over any number of steps.
    the signature: the low ``BITS`` bits of the minima, packed bit plane by bit
    plane. Documents of equal sets are one class from here on, whatever their
    number; only a class's bands go on.
-2. Candidates come from band buckets, without all pairs of a bucket: each
-   round compares a bucket's members with one pivot (another one each round),
-   and only where a bucket still holds several components. When rounds no
-   longer link much, the pairs that are left between different components are
-   compared in the join itself; only those whose signatures are close leave it.
+2. Candidates come from band buckets, without all pairs of a bucket. First each
+   bucket's members are compared with one pivot, and the confirmed links joined
+   to components. In a bucket that then still holds several, the members
+   outside its largest component are compared with all members that are not in
+   their own: chunk against chunk, each pair in the first bucket it shares,
+   inside the task, which passes on no more than links.
 3. A candidate's similarity is estimated by bit counts of the signatures,
    corrected for the chance that low bits collide; what is clearly below the
    threshold goes. The rest is confirmed on the full sets.
@@ -34,6 +35,7 @@ columns are not looked at.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,13 +51,9 @@ BANDS, ROWS = 32, 4
 BITS = 4
 #: What an estimate may lie below the threshold: over four standard deviations.
 SLACK = 0.2
-#: Rounds of pivots at most, before what is left is compared in the join.
-PIVOT_ROUNDS = 6
-#: Pivots of a bucket in all rounds but the first.
-PIVOTS = 4
-#: Pairs of different components for each row of their buckets, on average, up
-#: to which the join compares what is left.
-CROSS_PAIRS = 64
+#: Members of a bucket, outside its largest component and in all, that are
+#: compared at a time; buckets of fewer members than SMALL share a task's group.
+CHUNK_X, CHUNK_Y, SMALL = 256, 1024, 128
 #: Words whose hashes a worker keeps.
 CACHE_WORDS = 500_000
 
@@ -181,9 +179,7 @@ def _confirm(pairs: DataFrame, texts: DataFrame) -> DataFrame:
             for k, x, y in zip(a, text_a, text_b):
                 if held[0] != k:
                     held = k, shingle_set(x, words)
-                s, t = held[1], shingle_set(y, words)
-                common = len(s) + len(t) - len(np.union1d(s, t))
-                out.append(100 * common >= PERCENT * (len(s) + len(t) - common))
+                out.append(_linked(held[1], shingle_set(y, words)))
             return [out]
         return run
     return append_columns(both, {c: F.col(c) for c in ("a", "text_a", "text_b")}, "linked boolean", make,
@@ -211,7 +207,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     rows = materialise(_sets(docs, key, text), "sets")
     classes = materialise(rows.where("node is not null").groupBy("node").agg(
         F.min("_key").alias("key"), F.any_value("sig").alias("sig"), F.any_value("bands").alias("bands")), "classes")
-    members = classes.select("node", F.explode("bands").alias("bucket"))
+    members = classes.select("node", F.posexplode("bands").alias("band", "bucket"))
     shared = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low != high")
     # buckets of several classes only
     members = materialise(members.join(shared.select("bucket"), "bucket").distinct(), "members")
@@ -238,47 +234,112 @@ def _links(docs: DataFrame, key: str, text: str, classes: DataFrame, members: Da
 
     nodes = members.select("node").distinct().join(classes.select("node", "key"), "node")
     texts = materialise(_texts(docs, key, text, nodes), "texts")  # of every class that may be in a pair
-    links: DataFrame | None = None
-    tried: DataFrame | None = None
-    state = members.withColumn("component", F.col("node"))
-    for turn in range(PIVOT_ROUNDS + 1):
-        # a bucket's pivots: by hashes that are others each round
-        chosen = [F.min(F.struct(F.xxhash64("node", F.lit(PIVOTS * turn + k)).alias("h"), "node", "component"))
-                  for k in range(PIVOTS if turn else 1)]
-        pivot = materialise(state.groupBy("bucket").agg(F.array_distinct(F.array(*chosen)).alias("p")).select(
-            "bucket", F.explode("p").alias("p")).select(
-            "bucket", F.col("p.node").alias("pivot"), F.col("p.component").alias("of")), "pivots")
-        pairs = near(state.join(pivot, "bucket").where("component != of").select(
-            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "candidates")
-        new = materialise(_confirm(pairs, texts), "links")
-        tried = pairs if tried is None else tried.union(pairs)
-        links = new if links is None else links.union(new)
-        # what is known so far is a star forest: it stands for all links before
-        found = materialise(components(links), "found")
-        links = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        state = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        # buckets that still hold several components, and how many pairs of them
-        parts = state.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
-            F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("inside"))
-        open_ = materialise(parts.withColumn("across", F.expr("(n * n - inside) / 2")).where("across > 0"), "open")
-        across, rows = open_.agg(F.sum("across"), F.sum("n")).first()
-        if across is None:
-            return links
-        state = materialise(state.join(open_.select("bucket"), "bucket"), "state")
-        if across <= CROSS_PAIRS * rows:
-            break
-    final = materialise(_all_left(state, sig, close).join(tried, ["a", "b"], "left_anti"), "candidates")
-    return links.union(materialise(_confirm(final, texts), "links"))
-
-
-def _all_left(state: DataFrame, sig: DataFrame, close: float) -> DataFrame:
-    """Pairs of a bucket in different components whose signatures are close:
-    the estimate is part of the join, so that no other pair leaves it."""
-    known = state.join(sig, "node")
-    a = known.select("bucket", F.col("node").alias("a"), F.col("component").alias("of_a"), F.col("sig").alias("sig_a"))
-    b = known.select("bucket", F.col("node").alias("b"), F.col("component").alias("of_b"), F.col("sig").alias("sig_b"))
-    return a.join(b, (a["bucket"] == b["bucket"]) & (F.col("a") < F.col("b")) & (F.col("of_a") != F.col("of_b"))
-                  & (estimate(F.col("sig_a"), F.col("sig_b")) >= close)).select("a", "b").distinct()
+    # a bucket's pivot is the least by a hash, so that buckets of the same documents have the same one
+    pivot = materialise(members.groupBy("bucket").agg(F.min(F.struct(F.xxhash64("node").alias("h"), "node")).alias("p"))
+                        .select("bucket", F.col("p.node").alias("pivot")), "pivots")
+    pairs = near(members.join(pivot, "bucket").where("node != pivot").select(
+        F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct())
+    first = materialise(_confirm(materialise(pairs, "candidates"), texts), "links")
+    found = materialise(components(first), "found")
+    # known links, as stars
+    links = found.select(F.col("node").alias("a"), F.col("component").alias("b")).where("a != b")
+    state = members.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    state = materialise(state, "state")
+    # buckets that still hold several components: their largest one, and one of
+    # each kind where several hold the same classes
+    parts = state.groupBy("bucket", "component").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("print"))
+    parts = parts.groupBy("bucket").agg(F.sum("n").alias("n"), F.max("n").alias("most"), F.sum("print").alias("print"),
+                                        F.max(F.struct("n", "component")).alias("main"))
+    open_ = materialise(parts.where("most < n").groupBy("n", "print").agg(F.min(F.struct(
+        "bucket", "most", F.col("main.component").alias("main"))).alias("b")).select("n", "b.*"), "open")
+    small = open_.where(F.col("n") <= SMALL).agg(F.sum("n")).first()[0] or 0
+    cells = -(-small // CHUNK_Y) or 1
+    chunks = open_.select("bucket", "main", "n", F.ceil((F.col("n") - F.col("most")) / CHUNK_X).alias("xs"),
+                          F.ceil(F.col("n") / CHUNK_Y).alias("ys"))
+    rows = state.join(chunks, "bucket")
+    # by band: the open buckets of each class, so that a pair is compared in its first
+    own = materialise(rows.groupBy("node").agg(F.map_from_entries(F.collect_list(F.struct("band", "bucket"))).alias("m"))
+                      .select("node", F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.coalesce(
+                          F.try_element_at("m", i), F.lit(0))).alias("own")), "own")
+    payload = own.join(sig, "node").join(texts, "node")
+    rows = rows.select("bucket", "band", "node", "component", "main", "n", "xs", "ys")
+    x, y = F.pmod(F.xxhash64("node"), "xs"), F.pmod(F.xxhash64("node"), "ys")
+
+    def dealt(side, here, there, at):
+        """Rows with the group that compares them: a chunk meets each of the other side's."""
+        side = side.withColumns({"here": here, "there": F.explode(F.sequence(F.lit(0), F.col(there) - 1))})
+        cx, cy = ("here", "there") if at == "x" else ("there", "here")
+        cell = F.when(F.col("n") > SMALL, F.xxhash64("bucket", cx, cy)).otherwise(
+            F.pmod(F.xxhash64("bucket"), F.lit(cells)))
+        return side.select(cell.alias("cell"), "bucket", "band", "node", "component").join(payload, "node")
+
+    left, right = dealt(rows.where("component != main"), x, "ys", "x"), dealt(rows, y, "xs", "y")
+    right = right.toDF(*[f"{c}_y" for c in right.columns])  # else both sides' columns are the same ones
+    more = left.groupBy("cell").cogroup(right.groupBy("cell_y")).applyInArrow(_compare, "a bigint, b bigint")
+    return links.union(materialise(more, "links"))
+
+
+_WORDS_HELD = _Words()
+
+
+def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Links between the left rows' classes and the right rows', bucket by
+    bucket; of two components no more than one in a group."""
+    a, b, up = [], [], {}
+
+    def root(c):
+        while up.get(c, c) != c:
+            c = up[c]
+        return c
+    sets: dict[int, np.ndarray] = {}
+
+    def of(side, k):
+        node = side["node"][k]
+        if node not in sets:
+            sets[node] = shingle_set(side["text"][k].as_py(), _WORDS_HELD)
+        return sets[node]
+
+    def arrays(t: pa.Table) -> dict:
+        t = t.combine_chunks()
+        lists = {c: np.asarray(t.column(c).combine_chunks().flatten()).reshape(len(t), -1) for c in ("own", "sig")}
+        return {c: t.column(c).to_numpy() for c in ("bucket", "band", "node", "component")} | lists | {
+            "text": t.column("text")}
+    if not len(left) or not len(right):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    x, y = arrays(left), arrays(right.rename_columns([c.removesuffix("_y") for c in right.column_names]))
+    order_x, order_y = np.argsort(x["bucket"], kind="stable"), np.argsort(y["bucket"], kind="stable")
+    bx, by = x["bucket"][order_x], y["bucket"][order_y]
+    longs, chance = HASHES // 64, 2.0 ** -BITS
+    for bucket in np.unique(bx):
+        i = order_x[np.searchsorted(bx, bucket):np.searchsorted(bx, bucket, "right")]
+        j = order_y[np.searchsorted(by, bucket):np.searchsorted(by, bucket, "right")]
+        for k in range(0, len(i), CHUNK_X):
+            i_ = i[k:k + CHUNK_X]
+            differ = np.zeros((len(i_), len(j)), np.int64)
+            for w in range(longs):
+                bits = np.zeros((len(i_), len(j)), np.int64)
+                for plane in range(BITS):
+                    bits |= x["sig"][i_, None, plane * longs + w] ^ y["sig"][None, j, plane * longs + w]
+                differ += np.bitwise_count(bits.view(np.uint64))
+            close = ((1 - differ / HASHES) - chance) / (1 - chance) >= PERCENT / 100 - SLACK
+            close &= x["component"][i_, None] != y["component"][None, j]
+            p, q = np.nonzero(close)
+            same = (x["own"][i_[p]] == y["own"][j[q]]) & (x["own"][i_[p]] != 0)
+            mine = same.argmax(axis=1) == x["band"][i_[p]]
+            for r, t in zip(i_[p[mine]].tolist(), j[q[mine]].tolist()):
+                cr, ct = root(x["component"][r]), root(y["component"][t])
+                if cr != ct and _linked(of(x, r), of(y, t)):
+                    up[cr] = ct
+                    a.append(int(x["node"][r]))
+                    b.append(int(y["node"][t]))
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _linked(s: np.ndarray, t: np.ndarray) -> bool:
+    """Whether two full sets are linked."""
+    if 100 * min(len(s), len(t)) < PERCENT * max(len(s), len(t)):
+        return False
+    at = np.searchsorted(s, t)
+    common = int((s[np.minimum(at, len(s) - 1)] == t).sum())
+    return 100 * common >= PERCENT * (len(s) + len(t) - common)
