@@ -20,7 +20,7 @@ from pmflow.session import scratch_path
 
 #: Rows and bytes of an Arrow batch: a batch of long documents stays small.
 BATCH_ROWS = 1000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
