@@ -26,7 +26,7 @@ from pmflow.llm.common import append_columns, bounded_batches, column, materiali
 from pmflow.llm.tokenizer import tools
 
 #: Most frequent pre-tokens whose counts are broadcast (about 20 bytes each).
-HEAD_SIZE = 1 << 18
+HEAD_SIZE = 1 << 17
 #: Begins the join key of a document's own row. No UTF-8 text holds this byte.
 OWN = b"\xff"
 #: Distinct pre-tokens that a task gathers before it passes them on.
@@ -86,8 +86,16 @@ def count_tokens(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_i
                  head_size: int = HEAD_SIZE) -> DataFrame:
     """One row per row of ``df``: ``key``, n_bytes (UTF-8) and n_tokens."""
     table = materialise(piece_counts(df.select(column(text).cast("string")), vocabulary, pattern), "pieces")
-    head = {bytes(r[0]).decode(): r[1] for r in table.orderBy(F.col("n").desc(), "pretoken").limit(
-        head_size).select("pretoken", "pieces").collect()}
+    # the frequency from which on at most head_size pre-tokens are as frequent:
+    # by steps of an eighth of a doubling, a few hundred rows
+    steps = table.groupBy(F.floor(F.log2("n") * 8).alias("step")).count().orderBy(F.col("step").desc()).collect()
+    least, size = None, 0
+    for step, count in steps:
+        if size + count > head_size:
+            break
+        least, size = step, size + count
+    frequent = table.where(F.floor(F.log2("n") * 8) >= least) if least is not None else table.where("false")
+    head = {bytes(r[0]).decode(): r[1] for r in frequent.select("pretoken", "pieces").toLocalIterator()}
     shared = df.sparkSession.sparkContext.broadcast(head)
     given = df.select(column(key).alias("_key"), column(text).cast("string").alias("_text"))
     kind = given.schema["_key"].dataType
