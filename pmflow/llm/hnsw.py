@@ -16,8 +16,14 @@ nearer to it. Search is greedy from the top and a beam of ``ef`` on the ground
 level, many queries at a time.
 
 Nearness is the largest inner product. Vectors get one more component so that
-all have equal norm, which leaves their products with a query as they are.
-Found vectors are scored again in double precision on the original components.
+all have equal norm, which leaves their products with a query as they are. The
+nodes of a shard are parted into bands of norms that differ by less than
+``BAND``, each with a graph of its own, scaled by a power of two to a norm of
+about one: next to a far larger norm, the products of the others would round to
+one value, and beyond single precision's range they would be infinite. Every
+band is searched; of one that fits the beam all nodes are found. Found vectors
+are scored again in double precision on the original components; a score
+beyond its range is infinite.
 
 Null ids, and vectors that are null, empty, zero, of another length than the
 most frequent one, or holding null or non-finite components take no part. A
@@ -45,6 +51,34 @@ BUILD_CANDIDATES = 64
 EF = 160
 #: Nodes, or queries, that are worked on side by side.
 STEP = 512
+#: Norms of a graph's nodes differ by less than this factor.
+BAND = 4.0
+
+
+def _scaled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each row divided by a power of two so that its largest component is
+    between a half and one, and the powers' exponents."""
+    power = np.frexp(np.abs(vectors).max(axis=1))[1]
+    return np.ldexp(vectors, -power[:, None]), power
+
+
+def _bands(vectors: np.ndarray) -> np.ndarray:
+    """Each row's band, counted from the largest norm down."""
+    v, power = _scaled(vectors)
+    norm = power + np.log2(np.einsum("ij,ij->i", v, v)) / 2
+    return ((norm.max() - norm) / np.log2(BAND)).astype(np.int64)
+
+
+def _scores(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Products with a query; where a sum's parts leave the range, from scaled
+    vectors, so that it is infinite only if it is too large itself."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        out = vectors @ query
+        if not np.isfinite(out).all():
+            v, power = _scaled(vectors)
+            q, more = _scaled(query[None, :])
+            out = np.where(np.isfinite(out), out, np.ldexp(v @ q[0], power + more))
+    return out
 
 
 def _choose(vectors: np.ndarray, candidates: np.ndarray, sims: np.ndarray, keep: int) -> np.ndarray:
@@ -119,8 +153,9 @@ class Graph:
 
     @classmethod
     def build(cls, vectors: np.ndarray) -> Graph:
+        """The graph of one band's vectors."""
         n = len(vectors)
-        v = vectors.astype(np.float32)
+        v = np.ldexp(vectors, -np.frexp(np.abs(vectors).max())[1]).astype(np.float32)
         norm2 = np.einsum("ij,ij->i", v, v)
         v = np.concatenate([v, np.sqrt(np.maximum(norm2.max() - norm2, 0))[:, None]], 1)
         draw = np.random.default_rng(n).random(n)  # repeatable: a task that runs again builds the same
@@ -134,9 +169,14 @@ class Graph:
 
     def search(self, queries: np.ndarray, ef: int) -> np.ndarray:
         """The nodes found for each query (rows; nearest first, -1: none)."""
-        out = [self._search(queries[a:a + STEP].astype(np.float32), ef) for a in range(0, len(queries), STEP)]
+        queries = _scaled(queries)[0].astype(np.float32) if len(queries) else queries
+        find = self._search if len(self.vectors) > ef else self._all
+        out = [find(queries[a:a + STEP], ef) for a in range(0, len(queries), STEP)]
         return np.concatenate(out) if out else np.zeros((0, ef), np.int64)
 
+    def _all(self, q: np.ndarray, ef: int) -> np.ndarray:
+        return np.argsort(-(q @ self.vectors[:, :-1].T), axis=1, kind="stable")
+
     def _search(self, q: np.ndarray, ef: int) -> np.ndarray:
         q = np.concatenate([q, np.zeros((len(q), 1), np.float32)], 1)
         each = np.arange(len(q))
@@ -235,7 +275,9 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
     queries = rows.where(F.col("id") % every == 0)
     blocks = max(1, -(-queries.count() // block_rows))
 
-    # one row per shard: its graph, and ids and rows of each node's smallest ids
+    fields = ("nodes", "near", "vectors", "exact", "ids", "rows", "node")
+
+    # one row per band of a shard: its graph, and ids and rows of each node's smallest ids
     def build(group: pa.Table) -> pa.Table:
         ids, own = (np.asarray(group.column(c), np.int64) for c in ("id", "row"))
         vectors = _vectors(group.column("v"), dim) + 0.0  # no negative zero
@@ -246,13 +288,17 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
         by = np.argsort(node, kind="stable")
         place = np.arange(len(by)) - np.searchsorted(node[by], node[by])
         by, place = by[place <= k], place[place <= k]  # k and the query's own
-        graph = Graph.build(vectors[first])
-        packed = graph.pack() | {"exact": vectors[first].tobytes(), "ids": ids[by].tobytes(),
-                                 "rows": own[by].tobytes(), "node": node[by].astype(np.int64).tobytes()}
-        return pa.table({"shard": group.column("shard")[:1],
-                         **{c: pa.array([x], pa.binary()) for c, x in packed.items()}})
+        vectors, ids, own, node = vectors[first], ids[by], own[by], node[by]
+        bands, packed = _bands(vectors), []
+        for band in np.unique(bands):
+            nodes = np.flatnonzero(bands == band)
+            its = bands[node] == band
+            packed.append(Graph.build(vectors[nodes]).pack() | {
+                "exact": vectors[nodes].tobytes(), "ids": ids[its].tobytes(), "rows": own[its].tobytes(),
+                "node": np.searchsorted(nodes, node[its]).astype(np.int64).tobytes()})
+        return pa.table({"shard": pa.array([group.column("shard")[0].as_py()] * len(packed), pa.int32()),
+                         **{c: pa.array([x[c] for x in packed], pa.binary()) for c in fields}})
 
-    fields = ("nodes", "near", "vectors", "exact", "ids", "rows", "node")
     index_schema = "shard int, " + ", ".join(f"{c} binary" for c in fields)
     shard = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
     index = materialise(rows.withColumn("shard", shard).groupBy("shard").applyInArrow(build, index_schema), "index")
@@ -282,7 +328,7 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
                 for q_row, q_id, x, h in zip(np.frombuffer(b["q_rows"], np.int64).tolist(),
                                              np.frombuffer(b["q_ids"], np.int64).tolist(), q, hits):
                     h = h[h >= 0]
-                    score = exact[h] @ x
+                    score = _scores(exact[h], x)
                     lo, hi = np.searchsorted(node, h), np.searchsorted(node, h, "right")
                     many = hi - lo
                     at = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many) + np.repeat(lo, many)

@@ -51,3 +51,30 @@ def test_edge_rows(spark):
     assert got == expected
     assert hnsw.search(df.where("vec_id < 0")).count() == 0
     assert hnsw.search(df.where("vec_id = 0")).count() == 0  # the query's own row is no candidate
+
+
+def test_recall_beside_outlier_norms(spark):
+    rng = np.random.default_rng(5)
+    vectors = rng.normal(size=(3000, 32))
+    vectors /= np.linalg.norm(vectors, axis=1)[:, None]
+    for i, norm in ((7, 1e4), (1501, 1e25), (2203, 1e200), (2999, 3e-170)):  # far apart, also from float32's range
+        vectors[i] *= norm
+    vectors[::20] = np.abs(vectors[::20])  # queries that differ in what they find
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<double>")
+    got = {}
+    for r in hnsw.search(df, shard_rows=3000).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    expected = brute(list(enumerate(vectors)), 32)
+    assert got.keys() == expected.keys() and all(len(x) == 20 for x in got.values())
+    hit = sum(len(got[q] & set(lists[0])) for q, lists in expected.items())
+    assert hit / (20 * len(got)) >= 0.97
+    large = [q for q in got if vectors[q] @ vectors[2203] > 0]
+    assert large and all(2203 in got[q] for q in large)
+
+
+def test_scores_beyond_the_range(spark):
+    x = 2.0 ** 665
+    rows = [(0, [x, x]), (1, [x, -x]), (2, [x, x]), (3, [-x, -x]), (4, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["rank"], r["vec_id"], r["score"]) for r in hnsw.search(df).collect())
+    assert got == [(1, 2, float("inf")), (2, 4, 2 * x), (3, 1, 0.0), (4, 3, float("-inf"))]
