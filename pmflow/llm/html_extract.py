@@ -3,7 +3,12 @@
 A page becomes a tree. Subtrees that never are article text go first: scripts,
 styles, forms and the like, navigation, headers, footers, asides, hidden
 parts, and those whose class, id or role names a menu, advert, notice, comment
-list and so on. Each remaining paragraph passes points to its ancestors, one
+list and so on. An article or main element never goes for its name, nor does
+what lies around one, nor a form around one; inside another article or main (a
+comment list) it stays out unless it holds more text than is left there. Where
+no article lies inside, a form stays if it holds more than what is left of the
+page or the article, and a part where the name is but part of a longer one
+("share-enabled") if it holds more than ten times that. Each remaining paragraph passes points to its ancestors, one
 and one more for every comma and every hundred characters up to three, half as
 many to each further level, discounted by the share of its text that stands in
 links. The container with most points is the best one, grown to the article
@@ -30,7 +35,7 @@ from pmflow.llm.common import append_columns, column
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements without article text, with all they hold.
-DROP = frozenset("""script style noscript template head title nav header footer aside form button select textarea
+DROP = frozenset("""script style noscript template head title nav header footer aside button select textarea
     input label fieldset iframe object embed svg math canvas audio video dialog menu datalist option""".split())
 BLOCK = frozenset("""address article blockquote body caption center dd details div dl dt fieldset figcaption figure
     h1 h2 h3 h4 h5 h6 hgroup hr html li main ol p pre section summary table tbody td tfoot th thead tr ul
@@ -42,26 +47,36 @@ CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td
           "th": {"td", "th"}, "tbody": {"tbody", "thead", "tr", "td", "th"}, "tfoot": {"tbody", "tr", "td", "th"}}
 UNTIL = frozenset(("ul", "ol", "dl", "table"))
 MAIN_ROLES = frozenset(("main", "article"))
-DROP_ROLES = frozenset("""navigation banner contentinfo complementary search form menu menubar toolbar dialog
+DROP_ROLES = frozenset("""navigation banner contentinfo complementary search menu menubar toolbar dialog
     alertdialog alert status tablist""".split())
 #: Names in a class or id that mark a part as no article text, as whole words.
 _NAMES = r"(?:^|[\s_-])(?:%s)(?:$|[\s_-])"
-DROP_NAMES = re.compile(_NAMES % r"""ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|breadcrumbs?|comments?|comment-?list|
+_OUT = r"""ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|breadcrumbs?|comments?|comment-?list|
     disqus|replies|respond|discussion|notice|notification|newsletter|subscri\w+|sign-?up|login|share|sharing|related|
-    recommend\w*|pagination|pager|skip-?link|visually-hidden|sr-only|disclaimer|outbrain|taboola|toc""", re.X | re.I)
-#: The same, unless an article or main element lies inside.
-DROP_AROUND = re.compile(_NAMES % r"""banner|nav\w*|menu\w*|side-?bar\w*|foot(?:er)?|header|masthead|cookies?|consent|
-    gdpr|alert|popup|modal|overlay|social|toolbar|widget\w*|hidden""", re.X | re.I)
+    recommend\w*|pagination|pager|skip-?link|visually-hidden|sr-only|disclaimer|outbrain|taboola|toc"""
+DROP_NAMES = re.compile(_NAMES % _OUT, re.X | re.I)
+#: The same, also undone by an article or main element inside that lies in another one.
+_AROUND = r"""banner|nav\w*|menu\w*|side-?bar\w*|foot(?:er)?|header|masthead|cookies?|consent|
+    gdpr|alert|popup|modal|overlay|social|toolbar|widget\w*|hidden"""
+DROP_AROUND = re.compile(_NAMES % _AROUND, re.X | re.I)
+WHOLE_NAME = re.compile(f"(?:^|\\s)(?:{_OUT}|{_AROUND})(?:$|\\s)", re.X | re.I)
+#: A part that may stay does so if less than this share of its text is left without it.
+FORM_LEFT, PART_LEFT = 1.0, 0.1
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements with text of their own that scores.
 PARAGRAPH = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 SIBLING_SHARE = 0.2
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "drop", "around", "main", "points", "text_len", "link_len")
-
-    def __init__(self, tag: str, parent, drop: bool = False, around: bool = False, main: bool = False):
-        self.tag, self.parent, self.drop, self.around, self.main = tag, parent, drop or around, around, main
+    __slots__ = ("tag", "parent", "children", "drop", "loose", "around", "left", "main", "points", "text_len", "link_len",
+                 "whole", "rest")
+
+    def __init__(self, tag: str, parent, drop: bool = False, loose: bool = False, around: bool = False,
+                 left: float = 0.0, main: bool = False):
+        self.tag, self.parent, self.around, self.left, self.main = tag, parent, around, left, main
+        self.loose = loose and not drop  # dropped for now
+        self.drop = drop or loose
         self.children: list = []  # nodes and strings
         self.points, self.text_len, self.link_len = 0.0, 0, 0
 
@@ -70,6 +85,7 @@ class _Tree(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.at = Node("html", None)
+        self.loose = False
 
     def handle_starttag(self, tag, attrs):
         if tag in ("html", "body", "head") and any(tag == n.tag for n in self._open()):
@@ -83,10 +99,15 @@ class _Tree(HTMLParser):
         if tag in CLOSES:
             self._close(CLOSES[tag], UNTIL)
         node = Node(tag, self.at, *_kind(tag, attrs))
+        self.loose |= node.loose
         if node.main and not node.drop:
-            for n in self._open():
-                if n.around:
-                    n.drop = n.around = False
+            within = False
+            for n in reversed([*self._open()]):
+                if n.loose and (n.around or not within):
+                    n.drop = n.loose = False
+                elif n.loose:
+                    n.left = FORM_LEFT
+                within |= n.main
         self.at.children.append(node)
         self.at = node
 
@@ -126,24 +147,53 @@ class _Tree(HTMLParser):
             self.at = target.parent
 
 
-def _kind(tag, attrs) -> tuple[bool, bool, bool]:
-    """Whether an element is dropped, whether it is so unless an article lies
-    inside, and whether it is an article or main."""
-    main, drop, around = tag in ("article", "main"), tag in DROP, False
+def _kind(tag, attrs) -> tuple[bool, bool, bool, float, bool]:
+    """Whether an element is dropped; whether it is so unless something speaks
+    against it, whether an article inside always does, and the share of its
+    text that must be left without it (0: any); whether it is an article or
+    main."""
+    main, drop, form, named, around, whole = tag in ("article", "main"), tag in DROP, tag == "form", False, False, False
     for k, v in attrs:
         v = v or ""
         if k == "role":
             role = v.strip().lower()
-            main, drop = main or role in MAIN_ROLES, drop or role in DROP_ROLES
+            main, form, drop = main or role in MAIN_ROLES, form or role == "form", drop or role in DROP_ROLES
         elif k in ("class", "id"):
             if tag not in ("body", "html"):
-                drop = drop or bool(DROP_NAMES.search(v))
-                around = around or bool(DROP_AROUND.search(v))
+                names, arounds = bool(DROP_NAMES.search(v)), bool(DROP_AROUND.search(v))
+                named, around = named or names, around or arounds
+                whole = whole or (names or arounds) and bool(WHOLE_NAME.search(v))
         elif k == "hidden" or k == "aria-hidden" and v.strip().lower() == "true":
             drop = True
         elif k == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", v, re.I):
             drop = True
-    return drop, around and not drop, main
+    left = 0.0 if whole else PART_LEFT if named or around else FORM_LEFT
+    return drop, (form or named or around) and not main, around and not named and not form, left, main
+
+
+def _settle(root: Node) -> None:
+    """Takes back the loose drops that would leave too little."""
+    nodes = [root]
+    for n in nodes:  # grows
+        nodes.extend(c for c in n.children if isinstance(c, Node) and (c.loose or not c.drop))
+    for n in reversed(nodes):
+        n.whole = n.rest = 0
+        for c in () if n.tag in HEADINGS else n.children:
+            if isinstance(c, str):
+                n.whole += len(c.strip())
+                n.rest += len(c.strip())
+            elif c.loose or not c.drop:
+                n.whole += c.whole
+                n.rest += 0 if c.drop else c.rest
+    todo = [(root, root.rest)]
+    while todo:
+        n, rest = todo.pop()
+        for c in n.children:
+            if isinstance(c, str) or c.drop and not (c.loose and rest < c.left * c.whole):
+                continue
+            inner = rest + c.rest if c.drop else rest
+            c.drop = c.loose = False
+            todo.append((c, c.rest if c.main else inner))
 
 
 def _walk(root: Node) -> list[Node]:
@@ -243,6 +293,8 @@ def main_text(html: str | None) -> str:
     tree = _Tree()
     tree.feed(html)
     tree.close()
+    if tree.loose:
+        _settle(tree.root)
     return _text(_kept(tree.root))
 
 

@@ -24,6 +24,34 @@ def test_main_text():
         assert html_extract.main_text(html) == text, (html or "")[:200]
 
 
+NAMED = ["node node--type-article node--promoted", "post category-discussion", "post category-promotions tag-login",
+         "post comments-open", "entry-content share-enabled", "hentry no-sidebar", "related"]
+
+
+def test_main_text_stays_whatever_its_name():
+    for name in NAMED:
+        for html in (f'<body><nav>m</nav><article class="{name}"><h1>T</h1>{P}{P}</article>',
+                     f'<main><article class="{name}"><h1>T</h1>{P}{P}</article></main>',
+                     f'<main id="{name}"><h1>T</h1>{P}{P}</main>', f'<div role="main" class="{name}"><h1>T</h1>{P}{P}</div>',
+                     f'<div class="{name}"><div><article><h1>T</h1>{P}{P}</article></div></div>',
+                     f'<main><div class="{name}"><article><h1>T</h1>{P}{P}</article></div></main>'):
+            assert html_extract.main_text(html) == f"T {T} {T}", html
+    for name in NAMED[:-1]:  # no article inside, and the name only a part of a longer one
+        assert html_extract.main_text(f'<article><h1>T</h1><div class="{name}">{P}{P}</div></article>') == f"T {T} {T}"
+        assert html_extract.main_text(f'<body><div class="{name}"><h1>T</h1>{P}{P}</div>') == f"T {T} {T}"
+    assert html_extract.main_text(f'<article>{P}<div class="comments-area">{P}{P}</div></article>') == T
+    assert html_extract.main_text(f'<main>{P}{P}<ol class="comment-list"><article>{P}</article></ol></main>') == f"{T} {T}"
+
+
+def test_page_wide_form():
+    for body in (f"<div>{P}{P}</div>", f"<article>{P}{P}</article>", f"<main>{P}{P}</main>",
+                 f'<div class="post comments-open">{P}{P}</div>'):
+        for form in ('<form id="aspnetForm">', '<form role="form">'):
+            page = f"<body><nav>m</nav>{form}<input><select><option>o</select>{body}</form><footer>f</footer>"
+            assert html_extract.main_text(page) == f"{T} {T}", page
+    assert html_extract.main_text(f"<article>{P}{P}<form>{P}</form></article>") == f"{T} {T}"
+
+
 def test_extract_keeps_rows(spark):
     rows = [(i % 5 or None, h, "old", "u") for i, (h, _) in enumerate(PAGES[:13] + PAGES[:2])]
     df = spark.createDataFrame(rows, "page_id long, html string, TEXT string, url string")
