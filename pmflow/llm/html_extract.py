@@ -12,8 +12,9 @@ page or the article, and a part where the name is but part of a longer one
 and one more for every comma and every hundred characters up to three, half as
 many to each further level, discounted by the share of its text that stands in
 links. The container with most points is the best one, grown to the article
-or main element it lies in; siblings that score alike or read like paragraphs
-are kept too. A page without any paragraph points yields its article or main
+or main element it lies in. Of its siblings every article or main element is
+kept, and whatever isn't mostly links and holds a paragraph or has a fifth of
+the best one's points, however short. A page without any paragraph points yields its article or main
 element, else its body.
 
 The text is that of the kept containers in page order: white space inside a
@@ -66,6 +67,8 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements with text of their own that scores.
 PARAGRAPH = frozenset("p pre td blockquote li dd h1 h2 h3 h4 h5 h6 figcaption".split())
 SIBLING_SHARE = 0.2
+#: From this share of its text in links on, a sibling is a list of links.
+LINKED = 0.5
 
 
 class Node:
@@ -251,20 +254,17 @@ def _kept(root: Node) -> list[Node]:
         up = up.parent
     if best.parent is None:
         return [best]
-    least = max(10.0, SIBLING_SHARE * best.points)
+    least = SIBLING_SHARE * best.points
+    paragraphs = set()  # nodes that are or hold one
+    for n in reversed(nodes):
+        if n.text_len and n.tag in PARAGRAPH or n in paragraphs:
+            paragraphs.update((n, n.parent))
     out = []
     for c in best.parent.children:
         if c is best:
             out.append(c)
         elif isinstance(c, Node) and not c.drop and c.text_len:
-            density = c.link_len / c.text_len
-            if best.main:  # beside an article only another one
-                keep = c.main and c.points >= least
-            elif c.tag == "p":
-                keep = density < 0.25 and c.text_len > 80
-            else:
-                keep = c.points >= least and density < 0.5 or c.tag in PARAGRAPH and c.tag[0] == "h" and density == 0
-            if keep:
+            if c.main or c.link_len < LINKED * c.text_len and (c in paragraphs or c.points >= least):
                 out.append(c)
     return out
 

@@ -52,6 +52,20 @@ def test_page_wide_form():
     assert html_extract.main_text(f"<article>{P}{P}<form>{P}</form></article>") == f"{T} {T}"
 
 
+def test_siblings_however_short():
+    a, b = "Words of it, and more. " * 26, "Words of it, and. " * 16
+    a, b = a.strip(), b.strip()
+    for short in (b, "Short, too.", "End"):
+        for html in (f"<body><div><p>{a}</p></div><div><p>{short}</p></div>", f"<body><div><p>{a}</p></div><p>{short}</p>",
+                     f"<body><div><p>{a}</p></div><div><div><h2>{short}</h2></div></div>",
+                     f"<body><article><p>{a}</p></article><article><p>{short}</p></article>",
+                     f"<body><article><p>{a}</p></article><article>{short}</article>",
+                     f"<body><article><p>{a}</p></article><div><p>{short}</p></div>"):
+            assert html_extract.main_text(html) == f"{a} {short}", html
+    links = "<ul><li><a href=u>link, text</a></li></ul>"
+    assert html_extract.main_text(f"<body><div><p>{a}</p></div><div>{links}</div><p><a href=u>next</a></p>") == a
+
+
 def test_extract_keeps_rows(spark):
     rows = [(i % 5 or None, h, "old", "u") for i, (h, _) in enumerate(PAGES[:13] + PAGES[:2])]
     df = spark.createDataFrame(rows, "page_id long, html string, TEXT string, url string")
