@@ -2,7 +2,7 @@
 
 1. quality: the factorisation machine's rejects go;
 2. toxicity: what the clause grammar finds toxic goes;
-3. near_dedup: of each group of near duplicates the least doc_id stays;
+3. near_dedup: of each group of near duplicates the least doc_id's row stays;
 4. decontaminate: benchmark passages are cut out of the texts (a document that
    is nothing else goes); n_chars follows the text;
 5. tokenise: ids by byte-level BPE, with the digests of ids and decoded bytes.
@@ -11,9 +11,10 @@
 before kept. Between stages the rows are a Parquet table in the shared folder
 (``spark.checkpoint.dir``), so a lost executor costs a stage's tasks at most.
 All but the last stage return the columns that they were given. Null texts are
-empty. Rows without doc_id are judged like others; near_dedup keeps them, as
-nothing says which of them is first. Rows that share a doc_id are one document
-there: one of them stays. No SQL can say what stages 1 and 2 decide.
+empty. near_dedup goes by rows: those without doc_id come last in their group.
+Rows that share a doc_id are one document there: one of them stays, first of
+all one whose text no other document has, and only then each group's least is
+chosen. No SQL can say what stages 1 and 2 decide.
 """
 
 from __future__ import annotations
@@ -54,18 +55,22 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    found = materialise(minhash.near_duplicates(docs.select("doc_id", "text")).where("doc_id is not null"), "groups")
-    # an id stays if one of its rows does; few go, so they are what is looked up
-    ids = found.groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("rows"))
-    ids = materialise(ids, "ids")
-    out = docs.join(ids.where("not kept").select("doc_id"), "doc_id", "left_anti")
-    again = ids.where("kept and rows > 1").select("doc_id")
-    if not again.isEmpty():  # repeated rows of one id
-        first = F.struct(*[F.col(c) for c in docs.columns if c != "doc_id"])
-        single = out.join(again, "doc_id", "left_anti")
-        repeated = out.join(again, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(first).alias("_row"))
-        out = single.select(*docs.columns).unionByName(repeated.select("doc_id", "_row.*"))
-    return _plain(out, docs)
+    row = F.struct(column("doc_id").isNull().alias("none"), column("doc_id").alias("id"),
+                   F.monotonically_increasing_id().alias("at"))
+    rows = materialise(docs.withColumn("_row", row), "rows")
+    found = materialise(minhash.near_duplicates(rows.select("_row", "text"), "_row").select(
+        F.col("_row.id").alias("id"), F.col("_row.at").alias("at"), "_row", "component_id", "kept"), "groups")
+    gone = found.where("not kept").select("at")
+    again = materialise(found.where("id is not null").groupBy("id").count().where("count > 1").select("id"), "again")
+    if not again.isEmpty():  # one row of an id, then one of a group
+        shared = found.groupBy("component_id").agg(
+            (F.max("_row.none") | (F.min("id") != F.max("id"))).alias("shared"))
+        several = materialise(found.join(again, "id", "left_semi").join(shared, "component_id"), "several")
+        first = several.groupBy("id").agg(F.min(F.struct("shared", "_row")).alias("x")).select("x._row.at")
+        stay = found.join(several.join(first, "at", "left_anti").select("at"), "at", "left_anti")
+        stay = stay.groupBy("component_id").agg(F.min("_row").alias("x")).select("x.at")
+        gone = found.join(stay, "at", "left_anti").select("at")
+    return _plain(rows.withColumn("at", F.col("_row.at")).join(gone, "at", "left_anti"), docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -70,8 +70,7 @@ def test_filters(spark, made, kind, column):
 
 
 def test_labels_of_the_held_out_fold_are_not_used(spark, made):
-    from pyspark.sql import functions as F
-    _, docs, labels = made
+        _, docs, labels = made
     other = labels.withColumn("quality", F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2,
                                                 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = (quality.train(docs, x) for x in (labels, other))
@@ -155,6 +154,16 @@ def test_pipeline_of_nothing_and_edges(spark, tmp_path):
     assert corpus_pipeline.run(spark, str(tmp_path / "b")).count() == 0
 
 
+def test_near_dedup_goes_by_rows(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, a), (2, c), (3, c + " more"), (None, c), (None, d), (None, d), (4, None), (4, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    got = corpus_pipeline.near_dedup(spark, docs, SMALL)
+    assert got.columns == docs.columns
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(
+        [(1, b), (2, a), (3, c + " more"), (None, d), (4, None)], key=str)
+
+
 def test_registration():
     import __spark_entry__ as entry
     names = entry.queries().keys()
