@@ -710,6 +710,14 @@ def q_next_id_batch(spark, sf_dir):
     return tr.next_id_batch(staged, NEXT_ID_CURSOR, 50_000, tie_break=_RAW_COLS)
 
 
+@query("next_cursor", oracle(
+    f"""SELECT max(id) AS next_cursor, count(*) AS rows FROM (SELECT block_number * 16 + log_index AS id FROM fx_trades
+    WHERE block_number * 16 + log_index > {NEXT_ID_CURSOR} ORDER BY id LIMIT 50000)""", ("fx_trades",), []))
+def q_next_cursor(spark, sf_dir):
+    """The id cursor after that batch, and its rows."""
+    return tr.next_cursor(q_next_id_batch(spark, sf_dir))
+
+
 # ----------------------------------------------------------------- raw decode / block planning
 
 TOPIC0 = "0x" + "d0a08e8c493f9c94f29311604c9de1b4e8c8d4c06bd0c789af57f2d65bfec0f6"
