@@ -41,7 +41,7 @@ FOLDS, HELD_OUT = 5, 0
 THRESHOLD = 0.5
 MAX_STEMS = 5_000
 MOST_ODDS = 7.0
-#: Letters that a stem has at least and, unless it is a whole word, at most.
+#: Letters that a beginning has; whole words may have any number.
 STEM_LETTERS = range(4, 8)
 CACHE_WORDS = 500_000
 
@@ -156,11 +156,10 @@ def _candidates(text: str) -> set[tuple[str, bool]]:
     """Whole words and beginnings of a text's words, each once."""
     out = set()
     for w in set(_PART.findall(text.lower())):
-        if len(w) >= STEM_LETTERS[0]:
-            out.add((w, True))
-            for n in STEM_LETTERS:
-                if len(w) > n:
-                    out.add((w[:n], False))
+        out.add((w, True))
+        for n in STEM_LETTERS:
+            if len(w) > n:
+                out.add((w[:n], False))
     return out
 
 

@@ -5,6 +5,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from pmflow.llm import decontaminate, quality, queries, toxicity
@@ -164,6 +165,16 @@ def test_near_dedup_goes_by_rows(spark):
         [(1, b), (2, a), (3, c + " more"), (None, d), (4, None)], key=str)
 
 
+def test_short_insults_are_learned(spark):
+    rows = [(i, t + (" oaf" if i % 5 == 1 else ""), int(i % 5 == 1)) for i, t, _, _ in corpus()]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, x) for i, _, x in rows], "doc_id long, toxic int")
+    docs = docs.withColumn("text", F.regexp_replace("text", "wretch|vermin|zogg[a-z]*", "mo"))  # no other insult
+    got = {r["doc_id"]: r["predicted"] for r in toxicity.judge(docs, labels).where("held_out").collect()}
+    assert sum(got[i] == x for i, _, x in rows if i in got) >= 0.95 * len(got)
+    assert any(x for i, _, x in rows if i in got)
+
+
 def test_registration():
     import __spark_entry__ as entry
     names = entry.queries().keys()
