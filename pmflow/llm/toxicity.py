@@ -1,10 +1,11 @@
-"""Toxicity (operator 7): a weighted finite-state pattern grammar over clauses.
+"""Toxicity (operator 7): weighted words in the states of their clauses.
 
 Words map to classes: insult, threat, target, negation, reported speech, or
 none. Insult stems (whole words, or what words begin with) and their weights
 are learned from labelled rows; the other classes are short word lists. A
-clause (up to a sentence or clause mark, or the end of a line) runs through
-the composition of five small transducers: negation and reported speech open a
+clause (up to a sentence or clause mark, or the end of a line) is run through
+with a state of two flags and whether it has a target; it is not a composition
+of transducers, and an insult without a target counts too: negation and reported speech open a
 scope inside the clause, a target anywhere in it addresses it, and an insult
 or threat word emits its weight in the state the others are in. So what counts
 is the matched clause: "not an idiot" and "she said he is a clown" land in
@@ -55,7 +56,7 @@ REPORTED = frozenset("""said says say saying told tells claimed claims wrote wri
     """.split())
 THREAT = frozenset("""kill hurt destroy murder beat shoot stab strangle töten umbringen verletzen vernichten tuer
     frapper détruire matar golpear destruir""".split())
-#: States of the composed transducer: negation scope, reported scope, target.
+#: State of a clause: negation scope, reported scope, target.
 NONE, INSULT, THREAT_WORD, TARGET_WORD, NEGATION_WORD, REPORTED_WORD = range(6)
 KINDS = 2  # insult, threat
 CELLS = KINDS * 8
@@ -139,7 +140,7 @@ def cells(text: str | None, classes: _Classes) -> np.ndarray | None:
 
 
 def _run(clause: list, out: np.ndarray) -> None:
-    """The composed transducers over one clause."""
+    """One clause, word by word."""
     target = any(k == TARGET_WORD for k, _ in clause)
     negated, reported = 0, False
     for kind, weight in clause:
