@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -79,5 +79,39 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def place(df: DataFrame, order: list, name: str, group: str | None = None) -> DataFrame:
+    """``df`` as a written table with ``at`` (its place, from 0, under ``order``,
+    a list of Columns that ends in tie-breakers); with ``group``, a column by
+    which ``order`` begins (nulls first), also ``group_no`` (the group's place),
+    ``group_at`` (place within the group) and ``group_n`` (its rows). The rows are range-sorted, so a group of any size is
+    spread over tasks, and numbered by the rows that stand in earlier partitions:
+    only counts per partition (and group) meet in a window, no rows."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    t = materialise(sorted_.withColumn("_id", F.monotonically_increasing_id()), name)
+    part, within = F.shiftright("_id", 33), F.col("_id").bitwiseAND((1 << 33) - 1)
+    t = t.withColumns({"_part": part, "_in": within}).drop("_id")
+    if group is None:
+        # a row per partition of the sort: bounded by their number
+        counts = t.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+        before = counts.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"))
+        t = t.join(F.broadcast(before), "_part").withColumn("at", F.col("_before") + F.col("_in"))
+        return t.drop("_part", "_in", "_before")
+    counts = materialise(t.groupBy("_part", F.col(group).alias("_g")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_in").alias("_first")), f"{name}-counts")
+    whole = counts.groupBy("_part").agg(F.sum("_n").alias("_rows"))
+    whole = whole.select("_part", (F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")).alias("_before"))
+    numbers = place(counts.select("_g").distinct(), [F.asc_nulls_first("_g")], f"{name}-groups")
+    numbers = numbers.select(F.col("_g").alias("_no_g"), F.col("at").alias("group_no"))
+    own = Window.partitionBy("_g")
+    here = counts.select("_part", "_g", "_first", F.sum("_n").over(own).alias("group_n"),
+                         (F.sum("_n").over(own.orderBy("_part")) - F.col("_n")).alias("_group_before"))
+    here = here.join(numbers, F.col("_g").eqNullSafe(F.col("_no_g"))).join(F.broadcast(whole), "_part")
+    here = here.withColumnRenamed("_part", "_p")
+    t = t.join(here, (F.col("_part") == F.col("_p")) & F.col(group).eqNullSafe(F.col("_g")))
+    return t.withColumns({"at": F.col("_before") + F.col("_in"),
+                          "group_at": F.col("_group_before") + F.col("_in") - F.col("_first")}).drop(
+        "_part", "_p", "_g", "_no_g", "_in", "_first", "_before", "_group_before")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")

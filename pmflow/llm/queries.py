@@ -11,6 +11,7 @@ from pmflow.llm import (
     decontaminate,
     hnsw,
     html_extract,
+    merkle,
     minhash,
     quality,
     shards,
@@ -109,9 +110,44 @@ def op10_hnsw_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, proof and root, and the root that a tampered leaf folds to."""
+    def text(n_chars):
+        return F.concat(merkle.field(F.col("doc_id")), merkle.field(F.col("source")), merkle.field(F.col("lang")),
+                        merkle.field(n_chars), merkle.field(F.col("text")))
+
+    n = F.col("n_chars")
+    tampered = (F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0) & n.isNotNull()
+    rows = merkle.verify(documents(spark, sf_dir), "doc_id", "lang", text(n),
+                         F.when(tampered, text(n.cast("decimal(38,0)") + 1)))
+    return rows.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root",
+                       F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256"),
+                       F.col("folded").alias("folded_root"), "verified")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts,
-    op6_token_shards, op7_toxicity, op8_quality, op9_url_filter, op10_hnsw_search)}
+    op6_token_shards, op7_toxicity, op8_quality, op9_url_filter, op10_hnsw_search,
+    op11_merkle_manifest)}
+
+def _crc32(text: str) -> str:
+    """DuckDB expression: unsigned crc32 of a text's UTF-8 bytes."""
+    bit = "xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END)"  # fixed value: the CRC-32 polynomial
+    step = "xor(a, b)"
+    for _ in range(8):
+        step = f"list_transform([{step}], lambda x: {bit})[1]"
+    digits = f"hex(encode({text}))"
+    data = (f"list_transform(range(1, strlen({digits}) // 2 + 1), "
+            f"lambda i: CAST('0x' || substr({digits}, 2 * i - 1, 2) AS BIGINT))")
+    return f"xor(list_reduce(list_prepend(4294967295, {data}), lambda a, b: {step}), 4294967295)"
+
+
+def _leaf(n_chars: str) -> str:
+    """DuckDB expression: a document's leaf."""
+    return "sha256(" + " || ".join(
+        f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), '-')"
+        for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
 
 ORACLE: dict[str, str] = {
     "op4_decontaminate": r"""
@@ -155,5 +191,42 @@ fits AS (
   FROM parts JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath))
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN fits ON parts.r = fits.r AND k = 1
+""",
+    "op11_merkle_manifest": f"""
+WITH RECURSIVE rows_ AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+         CASE WHEN n_chars IS NOT NULL AND {_crc32('CAST(doc_id AS VARCHAR)')} % 7 = 0
+              THEN {_leaf('(n_chars + 1)')} END AS changed
+  FROM documents),
+leaves AS (
+  SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         row_number() OVER () AS r
+  FROM rows_),
+low AS (
+  SELECT tree, 0 AS level, pos, leaf AS hash, count(*) OVER (PARTITION BY tree) AS n FROM leaves
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2
+  FROM low WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+top AS (
+  SELECT -1 AS tree, 0 AS level, tree AS pos, hash, count(*) OVER () AS n FROM low WHERE n = 1
+  UNION ALL
+  SELECT tree, level + 1, pos // 2, sha256(string_agg(hash, '' ORDER BY pos)), (n + 1) // 2
+  FROM top WHERE n > 1 GROUP BY tree, level, pos // 2, n),
+nodes AS (SELECT * FROM low UNION ALL SELECT * FROM top),
+climb AS (
+  SELECT r, tree, 0 AS level, pos, '' AS proof, coalesce(changed, leaf) AS folded FROM leaves
+  UNION ALL
+  SELECT r, CASE WHEN m.n = 1 THEN -1 ELSE c.tree END, CASE WHEN m.n = 1 THEN 0 ELSE c.level + 1 END,
+         CASE WHEN m.n = 1 THEN c.tree ELSE c.pos // 2 END, proof || coalesce(s.hash, ''),
+         CASE WHEN m.n = 1 THEN folded WHEN s.hash IS NULL THEN sha256(folded)
+              WHEN c.pos % 2 = 1 THEN sha256(s.hash || folded) ELSE sha256(folded || s.hash) END
+  FROM climb c JOIN nodes m ON c.tree = m.tree AND c.level = m.level AND c.pos = m.pos
+  LEFT JOIN nodes s ON c.tree = s.tree AND c.level = s.level AND xor(c.pos, 1) = s.pos
+  WHERE c.tree >= 0 OR m.n > 1)
+SELECT doc_id, leaf, u.hash AS subroot, t.hash AS root, sha256(proof) AS proof_sha256, folded AS folded_root,
+       folded = t.hash AS verified
+FROM leaves JOIN low u ON leaves.tree = u.tree AND u.n = 1 JOIN top t ON t.n = 1
+JOIN climb c ON leaves.r = c.r AND c.tree = -1 AND c.level = t.level
 """,
 }
