@@ -13,8 +13,10 @@ from pmflow.llm import (
     html_extract,
     merkle,
     minhash,
+    order_minhash,
     quality,
     shards,
+    spelling,
     token_counts,
     tokenizer,
     toxicity,
@@ -125,10 +127,26 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.col("folded").alias("folded_root"), "verified")
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents, some misspelt on purpose, with the form that each goes by."""
+    words = spelling.count_words(documents(spark, sf_dir), misspell_every=199)
+    return spelling.group_variants(words).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and their likeness."""
+    found = order_minhash.edited(documents(spark, sf_dir).select("doc_id", "text"))
+    return found.select(
+        F.col("key").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"),
+        F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
+        order_minhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
+        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_minhash_dedup, op2_byte_bpe, op3_html_extract, op4_decontaminate, op5_token_counts,
     op6_token_shards, op7_toxicity, op8_quality, op9_url_filter, op10_hnsw_search,
-    op11_merkle_manifest)}
+    op11_merkle_manifest, op12_spelling_variants, op13_order_minhash)}
 
 def _crc32(text: str) -> str:
     """DuckDB expression: unsigned crc32 of a text's UTF-8 bytes."""
@@ -228,5 +246,37 @@ SELECT doc_id, leaf, u.hash AS subroot, t.hash AS root, sha256(proof) AS proof_s
        folded = t.hash AS verified
 FROM leaves JOIN low u ON leaves.tree = u.tree AND u.n = 1 JOIN top t ON t.n = 1
 JOIN climb c ON leaves.r = c.r AND c.tree = -1 AND c.level = t.level
+""",
+    "op12_spelling_variants": f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+  FROM documents),
+own AS (
+  SELECT run, count(*) AS n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS label
+  FROM runs WHERE length(run) >= 6 GROUP BY doc_id, run),
+hashed AS (SELECT run, n, {_crc32('label')} AS h FROM own),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         CAST(sum(n) AS BIGINT) AS n
+  FROM hashed GROUP BY 1 HAVING sum(n) >= 5 AND length(word) >= 6),
+less AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM words, unnest(range(1, length(word) + 1)) AS t(i)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word != b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS top FROM near GROUP BY word),
+forms AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN top >= 5 * w.n THEN top END AS form_n,
+         (SELECT min(other) FROM near WHERE near.word = w.word AND other_n = top AND top >= 5 * w.n) AS form
+  FROM words w LEFT JOIN best ON w.word = best.word),
+way AS (
+  SELECT word, word AS root FROM forms
+  UNION ALL SELECT way.word, form FROM way JOIN forms ON way.root = forms.word AND form IS NOT NULL)
+SELECT f.word, f.form, r.root, f.n, f.n_near, f.form_n
+FROM forms f JOIN way r ON f.word = r.word JOIN forms e ON r.root = e.word AND e.form IS NULL
 """,
 }
