@@ -140,7 +140,7 @@ def op13_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("key").alias("doc_id"), F.char_length("text").cast("long").alias("n_chars"),
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint", "edited_fingerprint",
         order_minhash.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"))
+        order_minhash.likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"), "next_key")
 
 
 QUERIES = {f.__name__: f for f in (

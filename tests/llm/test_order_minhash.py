@@ -29,7 +29,7 @@ def brute(text, k=om.K, sketches=om.SKETCHES, chosen=om.CHOSEN):
     seen, circle = Counter(), []
     for i in range(max(len(ids) - k + 1, 1)):
         kmer = chained(*[(x, 8) for x in ids[i:i + k]]) >> 32
-        circle.append((chained((kmer, 8), (seen[kmer], 4)) >> 32, i))
+        circle.append((chained((kmer, 8), (seen[kmer], 4)) >> 32 if seen[kmer] else kmer, i))
         seen[kmer] += 1
     circle.sort()
     out = []
@@ -109,7 +109,7 @@ def test_query(spark, tmp_path):
         path = f"{tmp_path}/{name}"
         spark.createDataFrame([(*r, "x", "y") for r in some], "doc_id long, text string, lang string, key string"
                               ).write.parquet(f"{path}/documents.parquet")
-        got = sorted((tuple(r) for r in op13_order_minhash(spark, path).collect()), key=str)
+        got = sorted((tuple(r)[:7] for r in op13_order_minhash(spark, path).collect()), key=str)
         assert got == expected(some), name
 
 
