@@ -14,8 +14,10 @@ import regex
 
 #: Above every rank.
 NEVER = (1 << 31) - 1
-#: Entries of a worker's piece cache; it starts anew when full.
-CACHE_ENTRIES = 400_000
+#: Bytes of a worker's piece cache, by ENTRY_BYTES a piece besides its characters
+#: and ids; it starts anew when full.
+CACHE_BYTES = 32 << 20
+ENTRY_BYTES = 150
 
 
 class Vocabulary:
@@ -184,14 +186,17 @@ class PieceIds(dict):
     once while the cache lasts."""
 
     def __init__(self, vocab: Vocabulary):
-        self.vocab = vocab
+        self.vocab, self.held = vocab, 0
 
     def learn(self, pieces: set[str]) -> None:
         """Compute the pieces that aren't known yet, side by side."""
-        if len(self) + len(pieces) > CACHE_ENTRIES:
+        if self.held > CACHE_BYTES:
             self.clear()
+            self.held = 0
         todo = [p for p in pieces if p not in self]
-        self.update(zip(todo, merge_pieces([p.encode() for p in todo], self.vocab)))
+        made = merge_pieces([p.encode() for p in todo], self.vocab)
+        self.update(zip(todo, made))
+        self.held += ENTRY_BYTES * len(todo) + sum(map(len, todo)) + sum(map(len, made))
 
     def __missing__(self, piece: str) -> bytes:
         self.learn({piece})

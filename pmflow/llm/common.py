@@ -8,6 +8,8 @@ other columns pass through.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -23,6 +25,19 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20
 
 
+def lean_worker() -> None:
+    """Take Arrow's buffers from the system's allocator, and give back what an
+    earlier task of this Python worker has freed: workers live on from stage to
+    stage, and a pool of its own would keep a stage's peak."""
+    if pa.default_memory_pool().backend_name != "system":
+        pa.set_memory_pool(pa.system_memory_pool())
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # another C library than glibc
+        pass
+
+
 def bounded_batches(spark: SparkSession) -> None:
     """Bound the Arrow batches sent to Python by rows and bytes."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
@@ -57,6 +72,7 @@ def append_columns(df: DataFrame, inputs: dict[str, object], schema: str,
     n_keep, names = len(keep), list(inputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         fn = make()
         for b in batches:
             args = {n: b.column(n_keep + i).to_pylist() for i, n in enumerate(names)}
@@ -65,6 +81,8 @@ def append_columns(df: DataFrame, inputs: dict[str, object], schema: str,
                     for i, c in enumerate(cols)]
             kept = [b.column(i) for i in range(n_keep)]
             yield pa.RecordBatch.from_arrays(kept + made, names=arrow.names)
+        del fn
+        lean_worker()
 
     given = df.select(*[column(c) for c in keep], *[c.alias(f"_in_{n}") for n, c in inputs.items()])
     return given.mapInArrow(run, full)

@@ -280,9 +280,6 @@ def _links(docs: DataFrame, key: str, text: str, classes: DataFrame, members: Da
     return links.union(materialise(more, "links"))
 
 
-_WORDS_HELD = _Words()
-
-
 def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
     """Links between the left rows' classes and the right rows', bucket by
     bucket; of two components no more than one in a group."""
@@ -293,11 +290,12 @@ def _compare(left: pa.Table, right: pa.Table) -> pa.Table:
             c = up[c]
         return c
     sets: dict[int, np.ndarray] = {}
+    words = _Words()  # of this group: a worker keeps nothing between tasks
 
     def of(side, k):
         node = side["node"][k]
         if node not in sets:
-            sets[node] = shingle_set(side["text"][k].as_py(), _WORDS_HELD)
+            sets[node] = shingle_set(side["text"][k].as_py(), words)
         return sets[node]
 
     def arrays(t: pa.Table) -> dict:

@@ -34,8 +34,10 @@ _TOOLS: dict[tuple[str, str], tuple[Pretokens, PieceIds]] = {}
 
 
 def tools(path: str, pattern: str) -> tuple[Pretokens, PieceIds]:
-    """The splitter and the piece cache of this Python worker."""
+    """The splitter and the piece cache of this Python worker: those of one
+    vocabulary, the last that was asked for."""
     if (path, pattern) not in _TOOLS:
+        _TOOLS.clear()
         load = Vocabulary.from_merges if path.endswith(".json") else Vocabulary.from_ranks
         _TOOLS[path, pattern] = Pretokens(pattern), PieceIds(load(path))
     return _TOOLS[path, pattern]
