@@ -11,10 +11,9 @@
 before kept. Between stages the rows are a Parquet table in the shared folder
 (``spark.checkpoint.dir``), so a lost executor costs a stage's tasks at most.
 All but the last stage return the columns that they were given. Null texts are
-empty. near_dedup goes by rows: those without doc_id come last in their group.
-Rows that share a doc_id are one document there: one of them stays, first of
-all one whose text no other document has, and only then each group's least is
-chosen. No SQL can say what stages 1 and 2 decide.
+empty. near_dedup goes by rows: those without doc_id come last in their group,
+rows that share a doc_id stay if their texts aren't near each other. No SQL can
+say what stages 1 and 2 decide.
 """
 
 from __future__ import annotations
@@ -54,22 +53,13 @@ def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates."""
+    """One document of each group of near duplicates: rows are told apart by a
+    number of their own, so only those go whose text is near another's."""
     row = F.struct(column("doc_id").isNull().alias("none"), column("doc_id").alias("id"),
                    F.monotonically_increasing_id().alias("at"))
     rows = materialise(docs.withColumn("_row", row), "rows")
-    found = materialise(minhash.near_duplicates(rows.select("_row", "text"), "_row").select(
-        F.col("_row.id").alias("id"), F.col("_row.at").alias("at"), "_row", "component_id", "kept"), "groups")
-    gone = found.where("not kept").select("at")
-    again = materialise(found.where("id is not null").groupBy("id").count().where("count > 1").select("id"), "again")
-    if not again.isEmpty():  # one row of an id, then one of a group
-        shared = found.groupBy("component_id").agg(
-            (F.max("_row.none") | (F.min("id") != F.max("id"))).alias("shared"))
-        several = materialise(found.join(again, "id", "left_semi").join(shared, "component_id"), "several")
-        first = several.groupBy("id").agg(F.min(F.struct("shared", "_row")).alias("x")).select("x._row.at")
-        stay = found.join(several.join(first, "at", "left_anti").select("at"), "at", "left_anti")
-        stay = stay.groupBy("component_id").agg(F.min("_row").alias("x")).select("x.at")
-        gone = found.join(stay, "at", "left_anti").select("at")
+    found = minhash.near_duplicates(rows.select("_row", "text"), "_row")
+    gone = materialise(found.where("not kept").select(F.col("_row.at").alias("at")), "gone")
     return _plain(rows.withColumn("at", F.col("_row.at")).join(gone, "at", "left_anti"), docs)
 
 
