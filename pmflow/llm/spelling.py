@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pmflow.llm.common import bounded_batches, column, materialise
+from pmflow.llm.common import bounded_batches, column, lean_worker, materialise
 
 #: Maximal runs of these letters are words; only A-Z are lower-cased.
 LETTERS_OF_WORDS = r"[A-Za-zÀ-ÿ]"
@@ -64,6 +64,7 @@ def count_words(docs: DataFrame, key: str = "doc_id", text: str = "text", min_le
     pattern = f"{LETTERS_OF_WORDS}{{{max(min_length, 1)},}}"  # a shorter run makes no word, misspelt or not
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean_worker()
         find, held = re.compile(pattern).findall, Counter()
 
         def hand_over() -> pa.RecordBatch:
@@ -178,6 +179,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([word.take(one), word.take(two), n.take(two)],
                                              names=["word", "near", "near_n"])
 
+    lean_worker()
     held: list[pa.RecordBatch] = []
     last = None
     for b in batches:
@@ -200,7 +202,8 @@ def near_words(words: DataFrame) -> DataFrame:
     apart, both ways."""
     rows = words.mapInArrow(_blocks, "block string, less int, word string, n bigint")
     large = rows.groupBy("block").agg(F.sum(F.length("word")).alias("letters")).where(F.col("letters") > LETTERS)
-    large = large.select("block", F.ceil(F.col("letters") / LETTERS).cast("int").alias("chunks"))
+    # written, so that its size is known: a row per LETTERS letters at most
+    large = materialise(large.select("block", F.ceil(F.col("letters") / LETTERS).cast("int").alias("chunks")), "large")
     rows = rows.join(large, "block", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
     rows = rows.withColumn("chunk", F.pmod(F.hash("word"), "chunks"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda other: F.struct(
