@@ -44,6 +44,59 @@ def scaled_double(d: Column) -> Column:
     return d.cast("double") / F.lit(float(AMOUNT_SCALE))
 
 
+#: Decimal places of an exact ratio at most, and digits that are divided at a time:
+#: a remainder below 2^96 times 10^9 still fits 38 digits.
+RATIO_PLACES = 28
+_BLOCK = 9
+_WIDE = "decimal(38,0)"
+
+
+def exact_ratio(numer: Column, denom: Column) -> Column:
+    """numer / denom of integers up to 2^96-1 as plain decimal text without
+    trailing zeros: as many places (28 at most) as leave the digits, read as one
+    number, within 96 bits; what is beyond is rounded half to even. NULL for a
+    NULL or a zero denominator.
+
+    Long division by blocks of nine digits: each step's products stay within
+    DECIMAL(38), so all of it is column arithmetic."""
+    n, d = F.abs(numer.cast(_WIDE)), F.nullif(F.abs(denom.cast(_WIDE)), F.lit(0).cast(_WIDE))
+
+    def divided(a: Column) -> tuple[Column, Column]:
+        rest = a % d
+        return ((a - rest) / d).cast(_WIDE), rest.cast(_WIDE)
+
+    whole, rest = divided(n)
+    blocks = []
+    for _ in range(4):
+        q, rest = divided((rest * F.lit(10 ** _BLOCK).cast("decimal(10,0)")).cast(_WIDE))
+        blocks.append(F.lpad(q.cast("string"), _BLOCK, "0"))
+    # each part once: the projections above refer to it several times
+    parts = F.struct(whole.alias("whole"), F.concat(*blocks).alias("digits"), (rest != 0).alias("more"))
+
+    def rounded(p: Column, places: Column) -> Column:
+        """The digits as one number, with some of them behind the point."""
+        head = F.concat(p["whole"].cast("string"), F.substring(p["digits"], F.lit(1), places)).cast(_WIDE)
+        tail, half = F.substring(p["digits"], places + 1, F.lit(36)), F.rpad(F.lit("5"), 36 - places, F.lit("0"))
+        up = (tail > half) | ((tail == half) & (p["more"] | (head % 2 == 1)))
+        return (head + up.cast("int")).cast(_WIDE)
+
+    def text(p: Column) -> Column:
+        most = F.least(F.lit(RATIO_PLACES), F.lit(29) - F.length(p["whole"].cast("string")))
+        places = F.when(rounded(p, most) <= F.lit(DECIMAL96_MAX).cast(_WIDE), most).otherwise(most - 1)
+
+        def pointed(x: Column) -> Column:
+            digits = F.lpad(x["number"].cast("string"), 40, "0")
+            at = 40 - x["places"]
+            out = F.concat(F.substring(digits, F.lit(1), at), F.lit("."), F.substring(digits, at + 1, F.lit(40)))
+            return F.regexp_replace(F.regexp_replace(out, r"^0+(?=\d)|0+$", ""), r"\.$", "")
+        return F.get(F.transform(F.array(places), lambda k: pointed(
+            F.named_struct(F.lit("number"), rounded(p, k), F.lit("places"), k))), F.lit(0))
+
+    out = F.get(F.transform(F.array(parts), text), F.lit(0))
+    negative = (F.signum(numer) * F.signum(denom) < 0) & (out != "0")
+    return F.when(d.isNotNull() & n.isNotNull(), F.when(negative, F.concat(F.lit("-"), out)).otherwise(out))
+
+
 def iso_to_unix(c: Column | str, allow_naive: bool = True) -> Column:
     """ISO/RFC3339 text -> unix seconds (fraction floored); NULL when not parseable.
 

@@ -4,9 +4,10 @@ Plan shape of ``wallet_topic_volume``:
 
     facts (pruned to ts_unix, maker, market_id, usd_amount; P7 filter pushed to the scan)
       --left join--> topics
-      --groupBy(wallet, topic), a sum and a count per trailing period   partial+final hash agg
-      --explode periods of the aggregated rows
-      --window sum over (wallet, period)-->  share_of_wallet            (<= #topics rows per group)
+      --groupBy(wallet, topic, age band), a sum and a count             partial+final hash agg
+      --explode the periods of the aggregated rows' bands, repartition(wallet, period)
+      --groupBy(wallet, topic, period)                                  no further exchange
+      --window sum over (wallet, period)-->  share_of_wallet            no further exchange
 
 Sums are exact DECIMAL (order independent, so reruns and the SQL oracle agree
 bit for bit) and are cast to DOUBLE once at the end.
@@ -38,8 +39,8 @@ def market_topics(markets: DataFrame) -> DataFrame:
     return markets.select("market_id", F.coalesce(F.col("topic_primary"), F.lit("other")).alias("topic"))
 
 
-def _maker_rows(facts: DataFrame, markets: DataFrame) -> DataFrame:
-    """P7 + J3: ts > 0, lowercased maker non-empty, market non-empty; topic or 'other'.
+def maker_filter(facts: DataFrame) -> DataFrame:
+    """Ts > 0, lowercased maker non-empty, market non-empty.
 
     The filter is stated on the raw columns (lowercasing keeps a non-empty
     maker non-empty), so it reaches the Parquet scan of a fact table as
@@ -47,9 +48,13 @@ def _maker_rows(facts: DataFrame, markets: DataFrame) -> DataFrame:
     """
     f = facts.filter((F.col("ts_unix") > 0) & F.col("maker").isNotNull() & (F.col("maker") != "")
                      & F.col("market_id").isNotNull() & (F.col("market_id") != ""))
-    f = f.select("ts_unix", ascii_lower(F.col("maker")).alias("wallet"), "market_id",
-                 F.coalesce(F.col("usd_amount"), F.lit(0.0)).alias("usd_amount"))
-    j = f.join(market_topics(markets), "market_id", "left")
+    return f.select("ts_unix", ascii_lower(F.col("maker")).alias("wallet"), "market_id",
+                    F.coalesce(F.col("usd_amount"), F.lit(0.0)).alias("usd_amount"))
+
+
+def _maker_rows(facts: DataFrame, markets: DataFrame) -> DataFrame:
+    """P7 + J3: the rows that count, with their topic or 'other'."""
+    j = maker_filter(facts).join(market_topics(markets), "market_id", "left")
     return j.withColumn("topic", F.coalesce(F.col("topic"), F.lit("other")))
 
 
@@ -61,14 +66,20 @@ def wallet_topic_volume(facts: DataFrame, markets: DataFrame, *, as_of: int,
     reaches (inclusive; no upper bound, so future rows count everywhere).
     """
     rows = _maker_rows(facts, markets)
-    amount = F.col("usd_amount").cast(SUM_TYPE)
-    # The trailing periods and their cutoffs; 'all' has none. A row adds to
-    # each period's sum in place, so no raw row is copied
-    spans = [("all", F.lit(True)), *[(f"{d}d", F.col("ts_unix") >= as_of - d * DAY) for d in periods]]
-    sums = [F.struct(F.lit(name).alias("period"), F.sum(F.when(inside, amount)).alias("vol"),
-                     F.count_if(inside).alias("trade_count")) for name, inside in spans]
-    agg = rows.groupBy("wallet", "topic").agg(F.array(*sums).alias("periods"))
-    agg = agg.select("wallet", "topic", F.inline(F.filter("periods", lambda p: p["trade_count"] > 0)))
+    # A row's age band, the narrowest period that it lies in, so that a row
+    # adds to one sum; the bands are summed up to periods afterwards
+    spans = sorted(set(periods))
+    band = F.lit(len(spans))
+    for i in reversed(range(len(spans))):
+        band = F.when(F.col("ts_unix") >= as_of - spans[i] * DAY, i).otherwise(band)
+    bands = rows.groupBy("wallet", "topic", band.alias("band")).agg(
+        F.sum(F.col("usd_amount").cast(SUM_TYPE)).alias("vol"), F.count(F.lit(1)).alias("n"))
+    names = F.array(*[F.lit(f"{d}d") for d in spans], F.lit("all"))
+    wide = bands.select("wallet", "topic", "vol", "n", F.explode(
+        F.slice(names, F.col("band") + 1, len(spans) + 1)).alias("period"))
+    # dealt out by what the window needs, which serves the sums as well
+    agg = wide.repartition("wallet", "period").groupBy("wallet", "topic", "period").agg(
+        F.sum("vol").cast(SUM_TYPE).alias("vol"), F.sum("n").alias("trade_count"))
     total = F.sum("vol").over(Window.partitionBy("wallet", "period"))
     return agg.select(
         F.col("wallet").alias("proxy_address"),

@@ -191,15 +191,17 @@ def empty_dim_columns(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def upsert_markets(existing: DataFrame | None, incoming: DataFrame, *, order=None) -> DataFrame:
+def upsert_markets(existing: DataFrame | None, incoming: DataFrame, *, order=None,
+                   mark: str | None = None) -> DataFrame:
     """Incoming markets replace the ingest columns; category, topic and the
     enrichment state of existing rows survive. Duplicate ids in one batch:
-    the last in ``order`` wins (a later upsert overwrites an earlier one)."""
+    the last in ``order`` wins (a later upsert overwrites an earlier one).
+    ``mark`` names a column that says inserted, updated or kept."""
     if order is None:
         writer = [c for c in ("source_file", "row_index", "pos") if c in incoming.columns]
         order = writer + [c for c in incoming.columns if c not in ("market_id", *writer)]
     inc = pick_per_key(incoming, ["market_id"], order, last=True)
     inc = empty_dim_columns(inc)
     if existing is None:
-        return inc
-    return upsert(existing.select(*DIM_COLUMNS), inc, ["market_id"], INGEST_COLUMNS)
+        return inc.withColumn(mark, F.lit("inserted")) if mark else inc
+    return upsert(existing.select(*DIM_COLUMNS), inc, ["market_id"], INGEST_COLUMNS, mark=mark)

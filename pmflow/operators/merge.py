@@ -22,19 +22,21 @@ _ORD = "__ord"
 
 
 def pick_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], *,
-                 last: bool = False) -> DataFrame:
-    """One row per key: the first (or last) row under ``order``.
+                 last: bool = False, count: str | None = None) -> DataFrame:
+    """One row per key: the first (or last) row under ``order``. ``count`` names
+    a number column that is summed up over the key's rows.
 
     ``order`` must be a total order within a key for a deterministic pick
     (add the remaining columns as tie-breakers).
     """
     order_cols = [F.col(o) if isinstance(o, str) else o for o in order]
-    payload = [c for c in df.columns if c not in keys]
+    payload = [c for c in df.columns if c not in keys and c != count]
     packed = F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order_cols)],
                       *[F.col(c).alias(c) for c in payload])
     agg = F.max(packed) if last else F.min(packed)
-    out = df.groupBy(*keys).agg(agg.alias(_ORD))
-    return out.select(*keys, *[F.col(f"{_ORD}.{c}").alias(c) for c in payload]).select(*df.columns)
+    out = df.groupBy(*keys).agg(agg.alias(_ORD), *([F.sum(count).alias(count)] if count else []))
+    kept = [*keys, *([count] if count else [])]
+    return out.select(*kept, *[F.col(f"{_ORD}.{c}").alias(c) for c in payload]).select(*df.columns)
 
 
 def total_order(df: DataFrame, leading: Sequence[str]) -> list[str]:
@@ -60,9 +62,11 @@ def insert_if_absent(existing: DataFrame | None, incoming: DataFrame, keys: Sequ
 
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
-           replace_cols: Sequence[str]) -> DataFrame:
+           replace_cols: Sequence[str], *, mark: str | None = None) -> DataFrame:
     """Incoming rows replace ``replace_cols`` of matching keys; other columns
     of existing rows are kept; new keys are inserted (missing columns NULL).
+    ``mark`` names a column that says what became of a row: inserted, updated
+    or kept.
 
     A full outer join on the key: one shuffle, no per-key state.
     """
@@ -78,12 +82,22 @@ def upsert(existing: DataFrame, incoming: DataFrame, keys: Sequence[str],
             cols.append(F.when(matched, F.col(f"i.{c}")).otherwise(F.col(f"e.{c}")).alias(c))
         else:
             cols.append(F.col(f"e.{c}").alias(c))
+    if mark:
+        cols.append(F.when(F.col(f"e.{keys[0]}").isNull(), "inserted").when(matched, "updated").otherwise("kept")
+                    .alias(mark))
     return j.select(*cols)
 
 
 def combine(existing: DataFrame | None, incoming: DataFrame, keys: Sequence[str],
-            aggs: dict[str, str]) -> DataFrame:
-    """Merge with a combining function per column (e.g. {'first': 'min'})."""
-    u = incoming if existing is None else existing.select(*incoming.columns).unionByName(incoming)
+            aggs: dict[str, str], *, mark: str | None = None) -> DataFrame:
+    """Merge with a combining function per column (e.g. {'first': 'min'});
+    ``mark`` as in ``upsert``."""
     fns = {"min": F.min, "max": F.max, "sum": F.sum}
-    return u.groupBy(*keys).agg(*[fns[f](c).alias(c) for c, f in aggs.items()])
+    cols = [fns[f](c).alias(c) for c, f in aggs.items()]
+    if mark:
+        incoming = incoming.withColumn("_came", F.lit(True))
+        existing = existing if existing is None else existing.withColumn("_came", F.lit(False))
+        cols.append(F.when(~F.bool_or("_came"), "kept").when(F.bool_and("_came"), "inserted").otherwise("updated")
+                    .alias(mark))
+    u = incoming if existing is None else existing.select(*incoming.columns).unionByName(incoming)
+    return u.groupBy(*keys).agg(*cols)

@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pmflow.functions.exprs import USDC_ASSET, amount_text, iso_to_unix, parse_amount, scaled_double
+from pmflow.functions.exprs import USDC_ASSET, amount_text, exact_ratio, iso_to_unix, parse_amount, scaled_double
 from pmflow.operators.merge import insert_if_absent, pick_per_key, total_order
 
 FACT_COLUMNS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
@@ -28,8 +28,9 @@ STAGING_COLUMNS = ["timestamp_i64", "maker", "maker_asset_id", "maker_amount_fil
                    "taker_asset_id", "taker_amount_filled", "transaction_hash"]
 STAGING_KEY = ["transaction_hash", "maker", "taker", "timestamp_i64", "maker_asset_id", "taker_asset_id"]
 
+# price: exact to 28 places, NULL from 10^10 on; price_text has all of them
 KEYED_COLUMNS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
-                 "taker_direction", "price", "usd_amount", "token_amount", "transaction_hash", "source"]
+                 "taker_direction", "price", "price_text", "usd_amount", "token_amount", "transaction_hash", "source"]
 KEYED_KEY = ["transaction_hash", "maker", "taker", "ts_unix"]
 
 # Reject reasons, in the order the reference tests them.
@@ -131,9 +132,13 @@ def _derive(t: DataFrame, ts: Column, drop_non_positive_price: bool) -> DataFram
         reason.alias("reject_reason"))
 
 
+def asset_id() -> Column:
+    """The asset by which a trade finds its market."""
+    return F.when(F.col("maker_asset_id") != USDC_ASSET, F.col("maker_asset_id")).otherwise(F.col("taker_asset_id"))
+
+
 def _lookup_asset(t: DataFrame, tokens: DataFrame) -> DataFrame:
-    t = t.withColumn("asset_id", F.when(F.col("maker_asset_id") != USDC_ASSET, F.col("maker_asset_id"))
-                     .otherwise(F.col("taker_asset_id")))
+    t = t.withColumn("asset_id", asset_id())
     return t.join(tokens.select("asset_id", "market_id", "side"), "asset_id", "left")
 
 
@@ -273,12 +278,15 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
     ok = d.filter(keep)
     facts = ok.select(
         F.col("_ts_in").alias("ts_unix"), "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
-        "taker_direction", "price",
-        (F.col("usd_raw") / F.lit(1_000_000)).cast("decimal(38,12)").alias("usd_amount"),
-        (F.col("token_raw") / F.lit(1_000_000)).cast("decimal(38,12)").alias("token_amount"),
+        "taker_direction", F.col("usd_raw").cast("decimal(38,0)").alias("_usd"),
+        F.col("token_raw").cast("decimal(38,0)").alias("_token"),
         "transaction_hash", F.lit(source).alias("source"), "ingest_order")
     out = insert_if_absent(existing, facts, KEYED_KEY, ["ingest_order"])
-    return out.select(*KEYED_COLUMNS)
+    # exact amounts and price, of the rows that stay; either side's price is usd over tokens
+    scaled = [(F.col(c) / F.lit(1_000_000)).cast("decimal(38,12)").alias(n)
+              for c, n in (("_usd", "usd_amount"), ("_token", "token_amount"))]
+    out = out.select("*", *scaled, exact_ratio(F.col("_usd"), F.col("_token")).alias("price_text"))
+    return out.withColumn("price", F.col("price_text").try_cast("decimal(38,28)")).select(*KEYED_COLUMNS)
 
 
 def build_fact_trades_direct(trades: DataFrame, blocks: DataFrame, tokens: DataFrame,

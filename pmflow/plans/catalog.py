@@ -272,10 +272,43 @@ def q_staging_orders(spark, sf_dir):
     return tr.build_staging(t.fx_trades, bt).select(*tr.STAGING_COLUMNS)
 
 
-_KEYED_OUT = ("ts_unix, market_id, maker, taker, nonusdc_side, maker_direction, taker_direction, price, "
+_KEYED_OUT = ("ts_unix, market_id, maker, taker, nonusdc_side, maker_direction, taker_direction, price_text, "
               "usd_amount, token_amount, transaction_hash, source")
 
 
+def _keyed_exact_sql() -> str:
+    """Exact texts over kc: amounts with six places; the price by long division in
+    whole numbers, to as many places as leave 96 bits, half to even."""
+    out = """kw AS (
+  SELECT *, CAST(denom AS HUGEINT) AS d, CAST(numer AS HUGEINT) // CAST(denom AS HUGEINT) AS i,
+    ((CAST(numer AS HUGEINT) % CAST(denom AS HUGEINT)) * 100000000000000) // CAST(denom AS HUGEINT) AS f1,
+    ((CAST(numer AS HUGEINT) % CAST(denom AS HUGEINT)) * 100000000000000) % CAST(denom AS HUGEINT) AS r1
+  FROM kc WHERE denom <> 0),
+kp AS (SELECT *, least(28, 29 - length(CAST(i AS VARCHAR))) AS most FROM kw)"""
+    for name, src, places in (("kx", "kp", "most"), ("ky", "kx", "most - 1")):
+        scaled = f"(r1 * {_pow(f'({places}) - 14')})"
+        m = f"i * {_pow(places)} + f1 * {_pow(f'({places}) - 14')} + {scaled} // d"
+        out += f""",
+{name}0 AS (SELECT *, {m} AS m_{name}, {scaled} % d AS r_{name} FROM {src}),
+{name} AS (SELECT * REPLACE (m_{name} + CASE WHEN 2 * r_{name} > d OR (2 * r_{name} = d AND m_{name} % 2 = 1)
+    THEN 1 ELSE 0 END AS m_{name}) FROM {name}0)"""
+    out += """,
+kz AS (
+  SELECT *, CASE WHEN m_kx <= 79228162514264337593543950335 THEN m_kx ELSE m_ky END AS m,
+    CASE WHEN m_kx <= 79228162514264337593543950335 THEN most ELSE most - 1 END AS places FROM ky)"""
+    return out
+
+
+def _pow(places: str) -> str:
+    """10 to a whole power as HUGEINT (a DOUBLE power would round)."""
+    return f"CAST('1' || repeat('0', CAST({places} AS INT)) AS HUGEINT)"
+
+
+def _six(raw: str) -> str:
+    return (f"CAST(CAST({raw} AS HUGEINT) // 1000000 AS VARCHAR) || '.' || "
+            f"lpad(CAST(CAST({raw} AS HUGEINT) % 1000000 AS VARCHAR), 6, '0')")
+
+
 def _keyed_sql(src: str) -> str:
     """Keyed derivation + (tx, maker, taker, ts) first-wins over a staged CTE ``src``
     with columns ts_unix, maker, taker, transaction_hash, asset ids, amounts and the order columns."""
@@ -288,25 +321,33 @@ kc AS (
   SELECT *, CASE WHEN taker_asset_id = '0' THEN ma ELSE ta END AS denom,
     CASE WHEN taker_asset_id = '0' THEN ta ELSE ma END AS numer
   FROM km WHERE ma IS NOT NULL AND ta IS NOT NULL),
+{_keyed_exact_sql()},
 kf AS (
   SELECT ts_unix, market_id, maker, taker,
     CASE WHEN maker_asset_id = '0' AND taker_asset_id = '0' THEN 'USDC' ELSE side END AS nonusdc_side,
     CASE WHEN taker_asset_id = '0' THEN 'SELL' ELSE 'BUY' END AS maker_direction,
     CASE WHEN taker_asset_id = '0' THEN 'BUY' ELSE 'SELL' END AS taker_direction,
-    CAST(numer AS DOUBLE) / CAST(denom AS DOUBLE) AS price,
-    CAST(CASE WHEN taker_asset_id = '0' THEN ta ELSE ma END AS DOUBLE) / 1000000.0 AS usd_amount,
-    CAST(CASE WHEN taker_asset_id = '0' THEN ma ELSE ta END AS DOUBLE) / 1000000.0 AS token_amount,
+    rtrim(rtrim(CAST(m // {_pow('places')} AS VARCHAR) || '.'
+      || lpad(CAST(m % {_pow('places')} AS VARCHAR), CAST(places AS INT), '0'), '0'), '.') AS price_text,
+    {_six("CASE WHEN taker_asset_id = '0' THEN ta ELSE ma END")} AS usd_amount,
+    {_six("CASE WHEN taker_asset_id = '0' THEN ma ELSE ta END")} AS token_amount,
     transaction_hash, 'batch_pipeline' AS source, {_TOTAL_ORDER_SQL.replace('maker, taker, ', '')
                                                          .replace('transaction_hash, ', '')
                                                          .replace('maker_asset_id, taker_asset_id, ', '')}
     , maker_asset_id, taker_asset_id
-  FROM kc WHERE denom <> 0),
+  FROM kz),
 keyed AS (
   SELECT {_KEYED_OUT} FROM (
     SELECT *, row_number() OVER (PARTITION BY transaction_hash, maker, taker, ts_unix
       ORDER BY {_TOTAL_ORDER_SQL}) AS rn FROM kf) WHERE rn = 1)"""
 
 
+def _keyed_out(keyed: DataFrame) -> DataFrame:
+    """Exact values as text: both engines print them alike."""
+    return keyed.drop("price").withColumns({c: F.col(c).cast("decimal(38,6)").cast("string")
+                                            for c in ("usd_amount", "token_amount")})
+
+
 @query("fact_trades_keyed", oracle(
     f"SELECT {_KEYED_OUT} FROM keyed", _FX_TRADES,
     [_ORACLE_BT, _ORACLE_TM, """direct AS (
@@ -314,9 +355,7 @@ keyed AS (
   WHERE bt.ts_unix > 0 AND maker <> '' AND taker <> '' AND transaction_hash <> '')""", _keyed_sql("direct")]))
 def q_fact_trades_keyed(spark, sf_dir):
     t, bt, tm = _inputs(spark, sf_dir)
-    k = tr.build_fact_trades_direct(t.fx_trades, bt, tm)
-    return k.withColumn("usd_amount", F.col("usd_amount").cast("double")) \
-        .withColumn("token_amount", F.col("token_amount").cast("double"))
+    return _keyed_out(tr.build_fact_trades_direct(t.fx_trades, bt, tm))
 
 
 @query("fact_trades_staged", oracle(
@@ -331,9 +370,7 @@ def q_fact_trades_keyed(spark, sf_dir):
 def q_fact_trades_staged(spark, sf_dir):
     """D4 then D5: the staged path (unresolved block time kept as 0)."""
     t, bt, tm = _inputs(spark, sf_dir)
-    k = tr.build_fact_trades_keyed(tr.build_staging(t.fx_trades, bt), tm)
-    return k.withColumn("usd_amount", F.col("usd_amount").cast("double")) \
-        .withColumn("token_amount", F.col("token_amount").cast("double"))
+    return _keyed_out(tr.build_fact_trades_keyed(tr.build_staging(t.fx_trades, bt), tm))
 
 
 # ----------------------------------------------------------------- wallets
@@ -922,10 +959,11 @@ def q_stream_fact_trades(spark, sf_dir):
                                      _facts_ctes(_ORACLE_DIM, _ORACLE_MAKER_ROWS)))
 def q_stream_global_daily(spark, sf_dir):
     base = _run_fact_stream(spark, sf_dir)
-    q = stm.stream_global_daily(spark, f"{base}/facts", _dim(Tables(spark, sf_dir)), out_path=f"{base}/daily",
-                                checkpoint=f"{base}/_ckpt/daily", max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
+    q = stm.stream_global_daily(spark, f"{base}/facts", out_path=f"{base}/daily", checkpoint=f"{base}/_ckpt/daily",
+                                max_files_per_trigger=STREAM_FILES_PER_TRIGGER)
     q.awaitTermination()
-    return stm.read_global_daily(spark, f"{base}/daily").withColumn("stat_date", F.col("stat_date").cast("string"))
+    daily = stm.read_global_daily(spark, f"{base}/daily", _dim(Tables(spark, sf_dir)))
+    return daily.withColumn("stat_date", F.col("stat_date").cast("string"))
 
 
 @query("stream_wallets", oracle(_WALLET_OUT, _FX_TRADES, _facts_ctes(_ORACLE_WALLETS)))
@@ -1035,3 +1073,6 @@ def q_fact_trades_replay(spark, sf_dir):
     facts1, rejects1 = tr.build_fact_trades(t.fx_trades, early, tm)
     recovered, _ = tr.replay_rejects(rejects1, bt, tm)
     return facts1.unionByName(recovered)
+
+
+from pmflow.plans import catalog_runs  # noqa: E402, F401  (registers its queries)

@@ -31,6 +31,31 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder that nothing refers to any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def folder_values(spark: SparkSession, path: str, name: str) -> set[int]:
+    """The numbers in the names of a table's ``name=...`` folders."""
+    if not exists(spark, path):
+        return set()
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    names = [f.getPath().getName() for f in p.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(p)]
+    return {int(n.removeprefix(f"{name}=")) for n in names if n.startswith(f"{name}=")}
+
+
+def batches(spark: SparkSession, path: str) -> set[int]:
+    """The numbers of a table's batches."""
+    return folder_values(spark, path, "batch")
+
+
 def write_version(df: DataFrame, root: str, name: str, *, partition_by: list[str] | None = None,
                   tag: str | None = None) -> str:
     """Write ``df`` as a new version of table ``name``; commit it last. ``tag``
@@ -121,18 +146,27 @@ def write_batch(df: DataFrame, path: str, batch: int, partition_by: list[str] |
     w.parquet(f"{path}/batch={batch}")
 
 
-def earlier(table: DataFrame | None, batch: int) -> DataFrame | None:
-    """The rows of the batches before ``batch`` (a partition filter)."""
-    return table if table is None else table.where(F.col("batch") < batch)
+def other_batches(table: DataFrame | None, batch: int) -> DataFrame | None:
+    """The rows of all batches but ``batch``, which may be one that comes again
+    (a partition filter)."""
+    return table if table is None else table.where(F.col("batch") != batch)
+
+
+def chunk_start(block, chunk_size: int):
+    """The first block of a block's range."""
+    return block - F.pmod(block, F.lit(int(chunk_size)))
 
 
-def write_by_chunk(df: DataFrame, path: str, chunk_size: int, *, block_col: str = "block_number") -> None:
-    """Blocks / trades stored per block range: partition ``chunk_start`` =
-    block - block mod chunk_size; dynamic overwrite, so a re-fetched range
-    replaces only itself."""
-    c = F.col(block_col)
-    out = df.withColumn("chunk_start", c - F.pmod(c, F.lit(int(chunk_size))))
-    overwrite_partitions(out, path, ["chunk_start"])
+def write_by_chunk(df: DataFrame, path: str, chunk_size: int, *, batch: int | None = None,
+                   block_col: str = "block_number") -> None:
+    """Blocks / trades stored per block range (``chunk_start``). A re-fetched
+    range replaces only itself; with ``batch``, a batch replaces only itself and
+    ranges of others stay."""
+    out = df.withColumn("chunk_start", chunk_start(F.col(block_col), chunk_size))
+    if batch is None:
+        overwrite_partitions(out, path, ["chunk_start"])
+    else:
+        write_batch(out.hint("rebalance", "chunk_start"), path, batch, ["chunk_start"])
 
 
 def resolve_data_root(spark: SparkSession, base: str, subdir: str = "trades",
