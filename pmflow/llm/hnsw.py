@@ -25,10 +25,11 @@ band is searched; of one that fits the beam all nodes are found. Found vectors
 are scored again in double precision on the original components; a score
 beyond its range is infinite.
 
-Null ids, and vectors that are null, empty, zero, of another length than the
-most frequent one, or holding null or non-finite components take no part. A
-query's own row is no candidate; another row of the same id is. Repeated query
-rows each give their results. Other columns are not looked at.
+Null ids, and vectors that are null, empty, zero, or holding null or non-finite
+components take no part. Vectors of each length have graphs of their own, and a
+query is searched among those of its length. A query's own row is no candidate;
+another row of the same id is. Repeated query rows each give their results.
+Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -265,20 +266,25 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
         " and forall(v, x -> x is not null and not isnan(x) and abs(x) != double('infinity'))"
         " and exists(v, x -> x != 0)")
     rows = materialise(rows.select("id", "v", F.monotonically_increasing_id().alias("row")), "vectors")
-    size = rows.groupBy(F.size("v").alias("dim")).count().orderBy(F.col("count").desc(), "dim").first()
+    # a row per vector length: each length has graphs of its own, asked by its own queries
+    sizes = rows.groupBy(F.size("v").alias("dim")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") % every == 0).alias("asked")).where("asked > 0").collect()
     schema = f"query_id long, rank int, {key} long, score double"
-    if size is None:
+    if not sizes:
         return spark.createDataFrame([], schema)
-    dim, n = size
-    shards = max(1, -(-n // shard_rows))
-    rows = rows.where(F.size("v") == dim)
+    shards = {r["dim"]: -(-r["n"] // shard_rows) for r in sizes}
+    blocks = {r["dim"]: -(-r["asked"] // block_rows) for r in sizes}
+
+    def of_dim(numbers: dict[int, int]):
+        return F.element_at(F.create_map(*[F.lit(x) for item in numbers.items() for x in item]), F.col("dim"))
+    rows = rows.withColumn("dim", F.size("v")).where(F.col("dim").isin(list(shards)))
     queries = rows.where(F.col("id") % every == 0)
-    blocks = max(1, -(-queries.count() // block_rows))
 
     fields = ("nodes", "near", "vectors", "exact", "ids", "rows", "node")
 
     # one row per band of a shard: its graph, and ids and rows of each node's smallest ids
     def build(group: pa.Table) -> pa.Table:
+        dim = group.column("dim")[0].as_py()
         ids, own = (np.asarray(group.column(c), np.int64) for c in ("id", "row"))
         vectors = _vectors(group.column("v"), dim) + 0.0  # no negative zero
         order = np.lexsort((own, ids))
@@ -296,29 +302,32 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
             packed.append(Graph.build(vectors[nodes]).pack() | {
                 "exact": vectors[nodes].tobytes(), "ids": ids[its].tobytes(), "rows": own[its].tobytes(),
                 "node": np.searchsorted(nodes, node[its]).astype(np.int64).tobytes()})
-        return pa.table({"shard": pa.array([group.column("shard")[0].as_py()] * len(packed), pa.int32()),
-                         **{c: pa.array([x[c] for x in packed], pa.binary()) for c in fields}})
+        of = {c: pa.array([group.column(c)[0].as_py()] * len(packed), pa.int32()) for c in ("dim", "shard")}
+        return pa.table({**of, **{c: pa.array([x[c] for x in packed], pa.binary()) for c in fields}})
 
-    index_schema = "shard int, " + ", ".join(f"{c} binary" for c in fields)
-    shard = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
-    index = materialise(rows.withColumn("shard", shard).groupBy("shard").applyInArrow(build, index_schema), "index")
+    index_schema = "dim int, shard int, " + ", ".join(f"{c} binary" for c in fields)
+    shard = F.pmod(F.xxhash64("row"), of_dim(shards)).cast("int")
+    index = materialise(rows.withColumn("shard", shard).groupBy("dim", "shard").applyInArrow(build, index_schema),
+                        "index")
 
     def block_of(group: pa.Table) -> pa.Table:
-        return pa.table({"block": group.column("block")[:1],
+        dim = group.column("dim")[0].as_py()
+        return pa.table({"dim": group.column("dim")[:1], "block": group.column("block")[:1],
                          "q_ids": pa.array([np.asarray(group.column("id"), np.int64).tobytes()], pa.binary()),
                          "q_rows": pa.array([np.asarray(group.column("row"), np.int64).tobytes()], pa.binary()),
                          "q": pa.array([_vectors(group.column("v"), dim).tobytes()], pa.binary())})
 
-    block = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(blocks)).cast("int")
-    packed = materialise(queries.withColumn("block", block).groupBy("block").applyInArrow(
-        block_of, "block int, q_ids binary, q_rows binary, q binary"), "queries")
-    # a stated query set against all shards, block by block
-    left = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
+    block = F.pmod(F.xxhash64("row", F.lit(1)), of_dim(blocks)).cast("int")
+    packed = materialise(queries.withColumn("block", block).groupBy("dim", "block").applyInArrow(
+        block_of, "dim int, block int, q_ids binary, q_rows binary, q binary"), "queries")
+    # a stated query set against all shards of its length, block by block
+    left = index.withColumn("block", F.explode(F.sequence(F.lit(0), of_dim(blocks) - 1)))
+    right = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), of_dim(shards) - 1)))
 
     def find(shard_of: pa.Table, asked: pa.Table) -> pa.Table:
         found: list[list] = [[], [], [], []]
         for s in shard_of.to_pylist():
+            dim = s["dim"]
             graph = Graph.unpack(s, dim)
             exact = np.frombuffer(s["exact"], np.float64).reshape(-1, dim)
             ids, own, node = (np.frombuffer(s[c], np.int64) for c in ("ids", "rows", "node"))
@@ -345,7 +354,8 @@ def search(table: DataFrame, key: str = "vec_id", vector: str = "embedding", k:
                          "id": pa.array(found[1], pa.int64()), "row": pa.array(found[2], pa.int64()),
                          "score": pa.array(found[3], pa.float64())})
 
-    found = left.groupBy("shard", "block").cogroup(right.groupBy("shard", "block")).applyInArrow(
+    at = ("dim", "shard", "block")
+    found = left.groupBy(*at).cogroup(right.groupBy(*at)).applyInArrow(
         find, "q_row long, query_id long, id long, row long, score double")
     w = Window.partitionBy("q_row").orderBy(F.col("score").desc(), "id", "row")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k).select(

@@ -78,3 +78,15 @@ def test_scores_beyond_the_range(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     got = sorted((r["rank"], r["vec_id"], r["score"]) for r in hnsw.search(df).collect())
     assert got == [(1, 2, float("inf")), (2, 4, 2 * x), (3, 1, 0.0), (4, 3, float("-inf"))]
+
+
+def test_vectors_of_several_lengths(spark):
+    rng = np.random.default_rng(6)
+    rows = [(i, rng.normal(size=2 if i < 130 else 3).tolist()) for i in [*range(100, 130), *range(130, 155)]]
+    rows += [(160, [5.0]), (161, [1.0, 2.0, 3.0, 4.0])]  # a length of one row, one that nothing asks for
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got: dict = {}
+    for r in sorted(hnsw.search(df, shard_rows=10, block_rows=1).collect(), key=lambda r: (r["query_id"], r["rank"])):
+        got.setdefault(r["query_id"], []).append(r["vec_id"])
+    expected = {q: lists[0] for dim in (1, 2, 3, 4) for q, lists in brute(rows, dim).items() if lists[0]}
+    assert got == expected and set(got) == {100, 120, 140}
