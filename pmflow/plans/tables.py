@@ -25,6 +25,13 @@ def _log_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}/{VERSION_LOG}"
 
 
+def one_row(spark: SparkSession, schema: str, *values) -> DataFrame:
+    """A row of plain values, without a Python worker (``schema``: name type, ...)."""
+    fields = [f.strip().split(" ", 1) for f in schema.split(", ")]
+    row = spark.range(1, numPartitions=1)
+    return row.select(*[F.lit(v).cast(t).alias(n) for (n, t), v in zip(fields, values)])
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is anything at ``path``, on whatever filesystem it names."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -67,8 +74,8 @@ def write_version(df: DataFrame, root: str, name: str, *, partition_by: list[str
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    commit = spark.createDataFrame([(name, version, path, int(time.time() * 1000), tag)], LOG_SCHEMA)
-    commit.coalesce(1).write.mode("append").parquet(_log_path(root, name))
+    commit = one_row(spark, LOG_SCHEMA, name, version, path, int(time.time() * 1000), tag)
+    commit.write.mode("append").parquet(_log_path(root, name))
     return path
 
 
