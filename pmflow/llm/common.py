@@ -26,12 +26,10 @@ BATCH_BYTES = 4 << 20
 
 
 def lean_worker() -> None:
-    """Take Arrow's buffers from the system's allocator, and give back what an
-    earlier task of this Python worker has freed: workers live on from stage to
-    stage, and a pool of its own would keep a stage's peak."""
-    if pa.default_memory_pool().backend_name != "system":
-        pa.set_memory_pool(pa.system_memory_pool())
+    """Give back what an earlier task of this Python worker has freed: workers
+    live on from stage to stage, and would keep a stage's peak."""
     gc.collect()
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except AttributeError:  # another C library than glibc
