@@ -27,6 +27,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -127,7 +128,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, pattern: str, end:
     shards = max(1, total // (shard_sequences * 2))  # about half of the places are taken
     permutation = Permutation(total, seed)
     width = 2 if end < 1 << 16 else 4
-    kind = f"<u{width}"
+    kind, end_token = f"<u{width}", np.uint32(end).tobytes()
 
     def pack(batches):
         split, ids = tools(vocabulary, pattern)
@@ -159,16 +160,18 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, pattern: str, end:
 
         for b in batches:
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
+            size -= pc.sum(pc.binary_length(b.column(1))).as_py() or 0
+            rows -= len(keys)
             pieces = [split.split(t) for t in texts]
             ids.learn(set().union(*pieces))
-            parts, at = [held], len(held)
-            for k, t, p in zip(keys, texts, pieces):
-                own = np.frombuffer(b"".join(map(ids.__getitem__, p)), "<u4")
-                parts += [own.astype(kind), np.array([end], kind)]
-                spans.append({"doc_id": k, "start": 0, "at": at, "n": len(own) + 1})
-                at += len(own) + 1
-                size, rows = size - len(t.encode()), rows - 1
-            held = np.concatenate(parts)
+            coded, at = [], len(held)
+            for k, p in zip(keys, pieces):
+                own = b"".join(map(ids.__getitem__, p))
+                coded += [own, end_token]
+                n = len(own) // 4 + 1
+                spans.append({"doc_id": k, "start": 0, "at": at, "n": n})
+                at += n
+            held = np.concatenate([held, np.frombuffer(b"".join(coded), "<u4").astype(kind)])
             if (count := len(held) // length):
                 yield flush(count, [length] * count)
         if size or rows:
