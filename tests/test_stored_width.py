@@ -20,7 +20,7 @@ def test_ordering_columns_are_carried_once(spark):
 
 
 def test_tables_are_written_with_their_codec(spark, tmp_path):
-    df = spark.range(5).withColumnRenamed("id", "k")
+    df = spark.range(5).selectExpr("id AS k", "id * 2 AS v")
     tb.write_version(df, str(tmp_path), "t")
     tb.write_batch(df, f"{tmp_path}/b", 3)
     tb.append(df, f"{tmp_path}/a")
