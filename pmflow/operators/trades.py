@@ -17,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pmflow.functions.exprs import USDC_ASSET, amount_text, exact_ratio, iso_to_unix, parse_amount, scaled_double
+from pmflow.functions.exprs import USDC_ASSET, amount_text, iso_to_unix, parse_amount, scaled_double, with_exact_ratio
 from pmflow.operators.merge import insert_if_absent, pick_per_key, total_order
 
 FACT_COLUMNS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
@@ -285,7 +285,7 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
     # exact amounts and price, of the rows that stay; either side's price is usd over tokens
     scaled = [(F.col(c) / F.lit(1_000_000)).cast("decimal(38,12)").alias(n)
               for c, n in (("_usd", "usd_amount"), ("_token", "token_amount"))]
-    out = out.select("*", *scaled, exact_ratio(F.col("_usd"), F.col("_token")).alias("price_text"))
+    out = with_exact_ratio(out, "_usd", "_token", "price_text").select("*", *scaled)
     return out.withColumn("price", F.col("price_text").try_cast("decimal(38,28)")).select(*KEYED_COLUMNS)
 
 
