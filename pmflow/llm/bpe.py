@@ -190,10 +190,26 @@ class PieceIds(dict):
 
     def learn(self, pieces: set[str]) -> None:
         """Compute the pieces that aren't known yet, side by side."""
+        self._make_room()
+        self._add([p for p in pieces if p not in self])
+
+    def of(self, texts: list[list[str]]) -> list[list[bytes]]:
+        """The ids of each text's pre-tokens. Only the texts that hold one not
+        known yet are gone through again."""
+        self._make_room()
+        out = [list(map(self.get, t)) for t in texts]
+        short = [i for i, found in enumerate(out) if None in found]
+        self._add(list({p for i in short for p, found in zip(texts[i], out[i]) if found is None}))
+        for i in short:
+            out[i] = list(map(self.__getitem__, texts[i]))
+        return out
+
+    def _make_room(self) -> None:
         if self.held > CACHE_BYTES:
             self.clear()
             self.held = 0
-        todo = [p for p in pieces if p not in self]
+
+    def _add(self, todo: list[str]) -> None:
         made = merge_pieces([p.encode() for p in todo], self.vocab)
         self.update(zip(todo, made))
         self.held += ENTRY_BYTES * len(todo) + sum(map(len, todo)) + sum(map(len, made))

@@ -25,9 +25,17 @@ BATCH_ROWS = 1000
 BATCH_BYTES = 4 << 20
 
 
-def lean_worker() -> None:
-    """Give back what an earlier task of this Python worker has freed: workers
-    live on from stage to stage, and would keep a stage's peak."""
+#: What operators keep in a Python worker from task to task, by operator.
+KEPT: dict[str, dict] = {}
+
+
+def lean_worker(keep: str = "") -> None:
+    """Give back what an earlier task of this Python worker has freed, and what
+    other operators than ``keep`` kept in it: workers live on from stage to
+    stage, and would keep a stage's peak."""
+    for name, held in KEPT.items():
+        if name != keep:
+            held.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:
@@ -54,12 +62,13 @@ def column(name: str):
 
 
 def append_columns(df: DataFrame, inputs: dict[str, object], schema: str,
-                   make: Callable[[], Callable[..., list]], drop: Iterable[str] = ()) -> DataFrame:
+                   make: Callable[[], Callable[..., list]], drop: Iterable[str] = (), keep_worker: str = "") -> DataFrame:
     """``df`` with the columns of ``schema`` (DDL) appended.
 
     ``inputs`` maps argument names to Columns. ``make()`` runs once in a task
     and returns ``fn(**lists) -> list of columns``, each a list or an Arrow
-    array as long as the batch. ``drop`` names columns that are not passed on.
+    array as long as the batch. ``drop`` names columns that are not passed on,
+    ``keep_worker`` the operator whose ``KEPT`` the tasks use.
     """
     bounded_batches(df.sparkSession)
     out = T.StructType.fromDDL(schema)
@@ -70,7 +79,7 @@ def append_columns(df: DataFrame, inputs: dict[str, object], schema: str,
     n_keep, names = len(keep), list(inputs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lean_worker()
+        lean_worker(keep_worker)
         fn = make()
         for b in batches:
             args = {n: b.column(n_keep + i).to_pylist() for i, n in enumerate(names)}
@@ -80,7 +89,7 @@ def append_columns(df: DataFrame, inputs: dict[str, object], schema: str,
             kept = [b.column(i) for i in range(n_keep)]
             yield pa.RecordBatch.from_arrays(kept + made, names=arrow.names)
         del fn
-        lean_worker()
+        lean_worker(keep_worker)
 
     given = df.select(*[column(c) for c in keep], *[c.alias(f"_in_{n}") for n, c in inputs.items()])
     return given.mapInArrow(run, full)

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pmflow.llm.common import bounded_batches, column, materialise, others
+from pmflow.llm.common import bounded_batches, column, lean_worker, materialise, others
 from pmflow.llm.fm_index import FMIndex
 
 WINDOW = 10
@@ -91,7 +91,6 @@ def _search(block: _Block, texts: list[np.ndarray]):
     bounds = np.cumsum([0] + [len(w) for w in texts])
     ids = np.concatenate([np.zeros(0, np.int32), *texts])
     total = len(ids)
-    hit = np.zeros(total + 1, np.int64)
     # runs of known words inside a document
     fresh = np.zeros(total + 1, bool)
     fresh[bounds] = True
@@ -102,7 +101,7 @@ def _search(block: _Block, texts: list[np.ndarray]):
     long = end - start >= block.shortest
     start, end = start[long], end[long]
     if not len(start):
-        return hit[:-1].astype(bool), bounds, []
+        return np.zeros(total, bool), bounds, []
     # each run followed by a separator; `shift` leads from the packed place to the word's
     size = end - start
     at = np.cumsum(size + 1) - size - 1
@@ -115,11 +114,12 @@ def _search(block: _Block, texts: list[np.ndarray]):
     rows, lo, hi = index.search(block.patterns, block.lengths)
     place, which = index.locate(lo, hi)
     row, place = rows[which], place + shift[place]
-    hit += np.bincount(place, minlength=total + 1)
-    hit -= np.bincount(place + block.lengths[row], minlength=total + 1)
+    hit = np.zeros(total + 1, np.int32)
+    np.add.at(hit, place, 1)
+    np.subtract.at(hit, place + block.lengths[row], 1)
     doc = np.searchsorted(bounds, place, "right") - 1
     pairs = np.unique(np.stack([doc, row], 1), axis=0) if len(doc) else np.zeros((0, 2), np.int64)
-    return np.cumsum(hit[:-1]) > 0, bounds, pairs.tolist()
+    return np.cumsum(hit[:-1], out=hit[:-1]) > 0, bounds, pairs.tolist()
 
 
 def _spans(mask: np.ndarray) -> list[dict]:
@@ -179,15 +179,15 @@ def _one_block(df: DataFrame, shared, text: str, shard_bytes: int, again: bool,
 
     def shard(batches):
         block = shared.value
-        texts = [t for b in batches for t in b.column(n).to_pylist()]
-        mask, bounds, pairs = _search(block, [block.ids(t) for t in texts])
-        items: list[set] = [set() for _ in texts]
+        # a batch's texts are Python strings only while they are turned into ids
+        mask, bounds, pairs = _search(block, [block.ids(t) for b in batches for t in b.column(n).to_pylist()])
+        items: list[set] = [set() for _ in bounds[1:]]
         for d, row in pairs:
             items[d].update(block.items[row])
         at = 0
         for b in batches:
             cols: list[list] = [[], [], [], []]
-            new_text = []
+            cuts = {}
             for k in range(b.num_rows):
                 m = mask[bounds[at]:bounds[at + 1]]
                 if again:
@@ -198,13 +198,17 @@ def _one_block(df: DataFrame, shared, text: str, shard_bytes: int, again: bool,
                 spans = _spans(m)
                 for col, v in zip(cols, (len(m), int(m.sum()), spans, sorted(items[at]))):
                     col.append(v)
-                new_text.append(cut(texts[at], spans) if clean and spans else texts[at])
+                if clean and spans:
+                    cuts[k] = cut(b.column(n)[k].as_py(), spans)
                 at += 1
+            text_column = pa.array([cuts.get(k, t) for k, t in enumerate(b.column(n).to_pylist())],
+                                   pa.string()) if cuts else b.column(n)
             yield pa.RecordBatch.from_arrays(
-                [b.column(i) for i in range(n)] + [pa.array(new_text, pa.string())]
+                [b.column(i) for i in range(n)] + [text_column]
                 + [pa.array(c, f.type) for c, f in zip(cols, arrow)], names=names)
 
     def run(batches):
+        lean_worker()
         held, size = [], 0
         for b in batches:
             held.append(b)
@@ -214,6 +218,8 @@ def _one_block(df: DataFrame, shared, text: str, shard_bytes: int, again: bool,
                 held, size = [], 0
         if held:
             yield from shard(held)
+        del held
+        lean_worker()
 
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in given.schema.fields[:n + 1]] + out.fields)
     return given.mapInArrow(run, schema)

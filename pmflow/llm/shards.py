@@ -162,11 +162,8 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, pattern: str, end:
             keys, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
             size -= pc.sum(pc.binary_length(b.column(1))).as_py() or 0
             rows -= len(keys)
-            pieces = [split.split(t) for t in texts]
-            ids.learn(set().union(*pieces))
             coded, at = [], len(held)
-            for k, p in zip(keys, pieces):
-                own = b"".join(map(ids.__getitem__, p))
+            for k, own in zip(keys, map(b"".join, ids.of([split.split(t) for t in texts]))):
                 coded += [own, end_token]
                 n = len(own) // 4 + 1
                 spans.append({"doc_id": k, "start": 0, "at": at, "n": n})

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pmflow.llm.common import append_columns, bounded_batches, column, materialise
-from pmflow.llm.tokenizer import tools
+from pmflow.llm.tokenizer import KEEP, tools
 
 #: Most frequent pre-tokens whose counts are broadcast (about 20 bytes each).
 HEAD_SIZE = 1 << 17
@@ -79,7 +79,7 @@ def piece_counts(texts: DataFrame, vocabulary: str, pattern: str) -> DataFrame:
 
     bounded_batches(texts.sparkSession)
     seen = texts.mapInArrow(gather, "pretoken binary, n bigint").groupBy("pretoken").agg(F.sum("n").alias("n"))
-    return append_columns(seen, {"pretoken": F.col("pretoken")}, "pieces int", make)
+    return append_columns(seen, {"pretoken": F.col("pretoken")}, "pieces int", make, keep_worker=KEEP)
 
 
 def count_tokens(df: DataFrame, vocabulary: str, pattern: str, key: str = "doc_id", text: str = "text",

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pmflow.llm.bpe import PieceIds, Pretokens, Vocabulary
-from pmflow.llm.common import append_columns, column, others
+from pmflow.llm.common import KEPT, append_columns, column, others
 
 #: Characters of a chunk, and by how many it runs into the next.
 CHUNK_CHARS = 32_768
@@ -30,7 +30,9 @@ OVERLAP = 1_024
 #: Characters that a match looks ahead at most.
 AHEAD = 3
 
-_TOOLS: dict[tuple[str, str], tuple[Pretokens, PieceIds]] = {}
+#: Operator whose vocabulary and pieces a Python worker keeps.
+KEEP = "tokenizer"
+_TOOLS: dict[tuple[str, str], tuple[Pretokens, PieceIds]] = KEPT.setdefault(KEEP, {})
 
 
 def tools(path: str, pattern: str) -> tuple[Pretokens, PieceIds]:
@@ -45,9 +47,7 @@ def tools(path: str, pattern: str) -> tuple[Pretokens, PieceIds]:
 
 def _encode_all(texts: list[str], path: str, pattern: str) -> list[bytes]:
     split, ids = tools(path, pattern)
-    pieces = [split.split(t or "") for t in texts]
-    ids.learn(set().union(*pieces))
-    return [b"".join(map(ids.__getitem__, p)) for p in pieces]
+    return list(map(b"".join, ids.of([split.split(t or "") for t in texts])))
 
 
 def _encoder(path: str, pattern: str):
@@ -62,7 +62,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
     t, length = F.coalesce(column(text), F.lit("")), F.char_length(F.coalesce(column(text), F.lit("")))
     drop = [] if keep_text else [text]
     short = append_columns(df.where(length <= chunk_chars), {"text": t}, f"{ids} binary",
-                           _encoder(vocabulary, pattern), drop)
+                           _encoder(vocabulary, pattern), drop, KEEP)
     long = df.where(length > chunk_chars)
     # the rows' other columns travel with their first chunk
     keep = [c for c in others(df, [ids]) if keep_text or c != text]
@@ -78,7 +78,7 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
     chunks = chunks.repartition("_row", "_chunk")
     chunks = append_columns(
         chunks, {"part": F.col("_part"), "chunk": at, "length": F.col("_length")},
-        "_head array<bigint>, _tail array<bigint>", lambda: _borders(pattern, chunk_chars, overlap))
+        "_head array<bigint>, _tail array<bigint>", lambda: _borders(pattern, chunk_chars, overlap), keep_worker=KEEP)
     # stitch: the first start on which a chunk and its successor agree
     w = Window.partitionBy("_row").orderBy("_chunk")
     cut = F.array_min(F.array_intersect("_tail", F.lead("_head").over(w)))
@@ -96,14 +96,15 @@ def encode(df: DataFrame, vocabulary: str, pattern: str, text: str = "text", ids
         "_part", (start - at * chunk_chars + 1).cast("int"), F.greatest(end - start, F.lit(0)).cast("int")))
     chunks = append_columns(
         chunks.select("_row", "_chunk", "_known", "_rest", "_piece"),
-        {"text": F.when(F.col("_known"), F.col("_piece"))}, "_ids binary", _encoder(vocabulary, pattern))
+        {"text": F.when(F.col("_known"), F.col("_piece"))}, "_ids binary", _encoder(vocabulary, pattern),
+        keep_worker=KEEP)
     docs = chunks.groupBy("_row").agg(
         F.first("_rest", ignorenulls=True).alias("_rest"),
         F.array_sort(F.collect_list(F.struct(
             "_chunk", "_ids", F.when(~F.col("_known"), F.col("_piece")).alias("_raw")))).alias("_parts"))
     docs = append_columns(
         docs.select("_rest", "_parts"), {"parts": F.col("_parts")}, "_ids binary",
-        lambda: lambda parts: [_assemble(parts, vocabulary, pattern)], ["_parts"])
+        lambda: lambda parts: [_assemble(parts, vocabulary, pattern)], ["_parts"], KEEP)
     fields = [F.col("_rest").getField(c).alias(c) for c in keep]
     return short.select(*[column(c) for c in keep], column(ids)).unionByName(
         docs.select(*fields, F.col("_ids").alias(ids)))
@@ -151,7 +152,7 @@ def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", out:
             return [pa.array([b"".join([raw[i] for i in np.frombuffer(p or b"", "<u4").tolist()])
                               for p in packed], pa.binary())]
         return run
-    return append_columns(df, {"packed": column(ids)}, f"{out} binary", make)
+    return append_columns(df, {"packed": column(ids)}, f"{out} binary", make, keep_worker=KEEP)
 
 
 def n_tokens(ids: str = "ids") -> Column:
