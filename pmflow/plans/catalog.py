@@ -390,11 +390,15 @@ def _wallets_text(w):
                     ts_text("last_seen_at").alias("last_seen_at"))
 
 
-def wallets_of(spark, sf_dir):
-    w, _ = wl.merge_wallets(None, wl.wallet_activity(facts_of(spark, sf_dir)))
+def wallets_from(facts):
+    w, _ = wl.merge_wallets(None, wl.wallet_activity(facts))
     return w
 
 
+def wallets_of(spark, sf_dir):
+    return wallets_from(facts_of(spark, sf_dir))
+
+
 @query("wallet_first_last", oracle(_WALLET_OUT, _FX_TRADES, _facts_ctes(_ORACLE_WALLETS)))
 def q_wallet_first_last(spark, sf_dir):
     return _wallets_text(wallets_of(spark, sf_dir))
@@ -691,6 +695,7 @@ def q_activities_new(spark, sf_dir):
 # ----------------------------------------------------------------- inspection
 
 from pmflow.operators import status as stq  # noqa: E402
+from pmflow.session import scratch_path  # noqa: E402
 from pmflow.operators import logs as lg  # noqa: E402
 from pmflow.operators import asof as asof_op  # noqa: E402
 from pmflow.sources import files as fl  # noqa: E402
@@ -708,10 +713,14 @@ _FACT_COLS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_d
     _FX_TRADES, _facts_ctes(_ORACLE_DIM, _ORACLE_MAKER_ROWS, _wallet_topic_sql(), _ORACLE_WALLETS)))
 def q_table_counts(spark, sf_dir):
     t = Tables(spark, sf_dir)
-    facts = facts_of(spark, sf_dir)
+    path = scratch_path(spark, "facts")
+    # what the aggregates ask of the facts, made once
+    facts = facts_of(spark, sf_dir).select("ts_unix", "market_id", "maker", "taker", "usd_amount")
+    facts.write.option("compression", "zstd").parquet(path)
+    facts = spark.read.schema(facts.schema).parquet(path)
     dim = _dim(t)
     return stq.table_counts({
-        "dim_markets": t.fx_markets, "fact_trades": facts, "dim_wallets": wallets_of(spark, sf_dir),
+        "dim_markets": t.fx_markets, "fact_trades": facts, "dim_wallets": wallets_from(facts),
         "agg_wallet_topic": agg.wallet_topic_volume(facts, dim, as_of=AS_OF),
         "agg_global_daily": agg.global_daily(facts, dim)})
 
@@ -929,7 +938,6 @@ def q_status_report(spark, sf_dir):
 
 # ----------------------------------------------------------------- streaming
 
-from pmflow.session import scratch_path  # noqa: E402
 from pmflow.streaming import streams as stm  # noqa: E402
 
 STREAM_FILES = 16
@@ -1073,7 +1081,7 @@ def q_fact_trades_replay(spark, sf_dir):
     facts equal the single full run."""
     t, bt, tm = _inputs(spark, sf_dir)
     early = tr.block_times(t.fx_blocks.filter(F.col("timestamp") < F.lit(REPLAY_SPLIT)))
-    facts1, rejects1 = tr.build_fact_trades(t.fx_trades, early, tm)
+    facts1, rejects1 = tr.build_fact_trades(t.fx_trades, early, tm, path=scratch_path(spark, "run1"))
     recovered, _ = tr.replay_rejects(rejects1, bt, tm)
     return facts1.unionByName(recovered)
 
