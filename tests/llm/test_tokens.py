@@ -79,3 +79,23 @@ def test_counts_equal_the_library(spark):
                           for k, t, _ in rows)
         assert sorted((str(r[0]), r[1], r[2]) for r in got.collect()) == expected
     assert token_counts.count_tokens(df.where(F.lit(False)), JSON, P.PATTERN).count() == 0
+
+
+def test_pieces_of_many_texts_are_looked_up_once():
+    """op6: known pieces take one look-up; only texts with a new one are gone through again."""
+    split, vocab = Pretokens(P.PATTERN), Vocabulary.from_ranks(RANKS)
+    ids, alone = PieceIds(vocab), PieceIds(vocab)
+    texts = [split.split(t) for t in TEXTS + LONG]
+    want = [[alone[p] for p in t] for t in texts]
+    assert ids.of(texts) == want and set(ids) == {p for t in texts for p in t}
+    ids.learn = ids._add = lambda todo: [None for _ in todo if 1 / 0]  # nothing is left to compute
+    assert ids.of(texts) == want and ids.of([]) == [] and ids.of([[]]) == [[]]
+
+
+def test_a_worker_drops_what_another_operator_kept(spark):
+    """pipeline: vocabulary and pieces don't stay beside the next stage's own."""
+    from pmflow.llm.common import append_columns
+    df = spark.range(200, numPartitions=8).selectExpr("id", "'some text ' || id AS text")
+    assert tokenizer.encode(df, RANKS, P.PATTERN).selectExpr("sum(length(ids)) AS n").first()["n"] > 0
+    held = append_columns(df, {"text": F.col("text")}, "held int", lambda: lambda text: [[len(tokenizer._TOOLS)] * len(text)])
+    assert held.selectExpr("max(held) AS m").first()["m"] == 0
