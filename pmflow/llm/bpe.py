@@ -8,12 +8,15 @@ import json
 import re
 import sys
 import unicodedata
+from array import array
 
 import numpy as np
 import regex
 
 #: Above every rank.
 NEVER = (1 << 31) - 1
+#: Multiplier that spreads pairs over a table's slots.
+SPREAD, _64_BITS = 0x9E3779B97F4A7C15, (1 << 64) - 1
 #: Bytes of a worker's piece cache, by ENTRY_BYTES a piece besides its characters
 #: and ids; it starts anew when full.
 CACHE_BYTES = 32 << 20
@@ -21,23 +24,23 @@ ENTRY_BYTES = 150
 
 
 class Vocabulary:
-    """Tokens, and which pairs of them merge: ``pairs`` maps two ids to a rank
-    and the id they become; ``special`` holds strings that are taken out of a
-    text before it is split, one id each."""
-
-    def __init__(self, ids: dict[bytes, int], pairs: dict[tuple[int, int], tuple[int, int]], special: dict[str, int]):
-        self.ids, self.pairs, self.special = ids, pairs, special
+    """Which pairs of tokens merge: ``keys`` (first id << 32 | second id) have
+    ``ranks``, and ``made`` the id that each becomes; ``special`` holds strings
+    that are taken out of a text before it is split, one id each. Workers hold
+    the pairs as flat arrays only, no tokens."""
+
+    def __init__(self, ids: dict[bytes, int], keys: np.ndarray, ranks: np.ndarray, made: np.ndarray,
+                 special: dict[str, int]):
+        self.special = special
         self.of_byte = np.array([ids[bytes([b])] for b in range(256)], np.int32)
         # by rank: the id that the pair becomes; the last stands for NEVER
-        self.made = np.full(max((r for r, _ in pairs.values()), default=0) + 2, -1, np.int32)
+        self.made = np.full(max(ranks.tolist(), default=0) + 2, -1, np.int32)
         # an open-addressing table of the pairs, looked up for many pairs at a time
-        bits = max(10, (4 * len(pairs)).bit_length())
+        bits = max(10, (2 * len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.slot_key = np.full(1 << bits, -1, np.int64)
         self.slot_rank = np.full(1 << bits, NEVER, np.int32)
-        keys = np.fromiter((a << 32 | b for a, b in pairs), np.int64, len(pairs))
-        ranks = np.fromiter((r for r, _ in pairs.values()), np.int32, len(pairs))
-        self.made[ranks] = np.fromiter((i for _, i in pairs.values()), np.int32, len(pairs))
+        self.made[ranks] = made
         at, todo = self._slot(keys), np.arange(len(keys))
         while len(todo):
             free = self.slot_key[at[todo]] == -1
@@ -45,33 +48,51 @@ class Vocabulary:
             todo = todo[self.slot_key[at[todo]] != keys[todo]]
             at[todo] = (at[todo] + 1) & ((1 << bits) - 1)
         self.slot_rank[at] = ranks
+        # the same arrays, read one number at a time
+        self._keys, self._ranks, self._made = (memoryview(x) for x in (self.slot_key, self.slot_rank, self.made))
+        self._shift, self._mask = 64 - bits, (1 << bits) - 1
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> self.shift).astype(np.int64)
+        return (keys.astype(np.uint64) * np.uint64(SPREAD) >> self.shift).astype(np.int64)
 
     @classmethod
     def from_ranks(cls, path: str) -> Vocabulary:
         """A .tiktoken file: a pair merges if its joined bytes have a rank, and
         a rank is the token's id."""
-        with open(path, "rb") as f:
-            ids = {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
-        pairs = {(ids[t[:i]], ids[t[i:]]): (r, r) for t, r in ids.items() for i in range(1, len(t))
-                 if t[:i] in ids and t[i:] in ids}
-        return cls(ids, pairs, {})
+        ids = read_ranks(path)
+        keys, ranks, get = array("q"), array("i"), ids.get
+        for t, r in ids.items():
+            for i in range(1, len(t)):
+                if (x := get(t[:i])) is not None and (y := get(t[i:])) is not None:
+                    keys.append(x << 32 | y)
+                    ranks.append(r)
+        packed = np.array(ranks, np.int32)
+        return cls(ids, np.array(keys, np.int64), packed, packed, {})
 
     @classmethod
     def from_merges(cls, path: str) -> Vocabulary:
         """A .json file: the vocabulary and its list of merges, in rank order."""
-        with open(path, encoding="utf-8") as f:
-            data = json.load(f)
+        ids, data = read_json(path)
         raw = _symbol_bytes()
         to_bytes = lambda s: bytes(raw[c] for c in s)
-        ids = {to_bytes(k): v for k, v in data["model"]["vocab"].items() if all(c in raw for c in k)}
         pairs = {}
         for i, m in enumerate(data["model"]["merges"]):
             x, y = map(to_bytes, m.split(" ") if isinstance(m, str) else m)
-            pairs[ids[x], ids[y]] = (i, ids[x + y])
-        return cls(ids, pairs, {t["content"]: t["id"] for t in data["added_tokens"]})
+            pairs[ids[x] << 32 | ids[y]] = (i, ids[x + y])
+        ranks, made = (np.array([p[k] for p in pairs.values()], np.int32) for k in (0, 1))
+        special = {t["content"]: t["id"] for t in data["added_tokens"]}
+        return cls(ids, np.array(list(pairs), np.int64), ranks, made, special)
+
+    def pair(self, a: int, b: int) -> tuple[int, int] | None:
+        """The rank of one pair and the id that it becomes; None if it doesn't merge."""
+        key, keys = a << 32 | b, self._keys
+        at = (key * SPREAD & _64_BITS) >> self._shift
+        while (found := keys[at]) != key:
+            if found == -1:
+                return None
+            at = (at + 1) & self._mask
+        rank = self._ranks[at]
+        return rank, self._made[rank]
 
     def look_up(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The rank of each pair; NEVER where it doesn't merge."""
@@ -89,6 +110,29 @@ class Vocabulary:
         return out
 
 
+def read_ranks(path: str) -> dict[bytes, int]:
+    """The ids of a .tiktoken file's tokens."""
+    with open(path, "rb") as f:
+        return {base64.b64decode(a): int(b) for a, b in (x.split() for x in f if x.strip())}
+
+
+def read_json(path: str) -> tuple[dict[bytes, int], dict]:
+    """The ids of a .json file's tokens, and all that it holds."""
+    with open(path, encoding="utf-8") as f:
+        data = json.load(f)
+    raw = _symbol_bytes()
+    return {bytes(raw[c] for c in k): v for k, v in data["model"]["vocab"].items() if all(c in raw for c in k)}, data
+
+
+def token_bytes(path: str) -> list[bytes]:
+    """The raw bytes of each id of a vocabulary."""
+    ids = read_json(path)[0] if path.endswith(".json") else read_ranks(path)
+    out = [b""] * (max(ids.values()) + 1)
+    for t, i in ids.items():
+        out[i] = t
+    return out
+
+
 def _symbol_bytes() -> dict[str, int]:
     """The printable character that stands for each byte in byte-level
     vocabularies: printable Latin-1 stands for itself, the other bytes follow
@@ -156,13 +200,13 @@ def merge_pieces(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
 
 def _merge_long(piece: bytes, vocab: Vocabulary) -> list[int]:
     """One piece of any length: a heap over a linked list, O(n log n)."""
-    n, get = len(piece), vocab.pairs.get
+    n, get = len(piece), vocab.pair
     ids: list[int] = vocab.of_byte[np.frombuffer(piece, np.uint8)].tolist()
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
     heap: list[tuple[int, int, int, int, int]] = []
 
     def push(i):
-        if i >= 0 and (j := after[i]) < n and (m := get((ids[i], ids[j]))):
+        if i >= 0 and (j := after[i]) < n and (m := get(ids[i], ids[j])):
             heapq.heappush(heap, (m[0], i, ids[i], ids[j], m[1]))
 
     for i in range(n - 1):

@@ -16,12 +16,14 @@ is replaced.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pmflow.llm.bpe import PieceIds, Pretokens, Vocabulary
+from pmflow.llm.bpe import PieceIds, Pretokens, Vocabulary, token_bytes
 from pmflow.llm.common import KEPT, append_columns, column, others
 
 #: Characters of a chunk, and by how many it runs into the next.
@@ -29,6 +31,8 @@ CHUNK_CHARS = 32_768
 OVERLAP = 1_024
 #: Characters that a match looks ahead at most.
 AHEAD = 3
+#: Characters whose pieces a worker holds at a time (or one text's).
+GROUP_CHARS = 1 << 19
 
 #: Operator whose vocabulary and pieces a Python worker keeps.
 KEEP = "tokenizer"
@@ -47,7 +51,23 @@ def tools(path: str, pattern: str) -> tuple[Pretokens, PieceIds]:
 
 def _encode_all(texts: list[str], path: str, pattern: str) -> list[bytes]:
     split, ids = tools(path, pattern)
-    return list(map(b"".join, ids.of([split.split(t or "") for t in texts])))
+    out: list[bytes] = []
+    for group in _groups(texts):
+        out += map(b"".join, ids.of([split.split(t) for t in group]))
+    return out
+
+
+def _groups(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in turn, in groups of about ``GROUP_CHARS``: a batch's pieces
+    take many times the room of its texts."""
+    group, held = [], 0
+    for t in texts:
+        group.append(t or "")
+        held += len(group[-1])
+        if held >= GROUP_CHARS:
+            yield group
+            group, held = [], 0
+    yield group
 
 
 def _encoder(path: str, pattern: str):
@@ -143,10 +163,7 @@ def _assemble(parts, vocabulary: str, pattern: str) -> list[bytes]:
 def decode(df: DataFrame, vocabulary: str, pattern: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """``df`` with ``out`` (binary: the tokens' raw bytes, joined)."""
     def make():
-        tokens = tools(vocabulary, pattern)[1].vocab.ids
-        raw = [b""] * (max(tokens.values()) + 1)
-        for t, i in tokens.items():
-            raw[i] = t
+        raw = token_bytes(vocabulary)  # without the pairs and pieces that encoding takes
 
         def run(packed):
             return [pa.array([b"".join([raw[i] for i in np.frombuffer(p or b"", "<u4").tolist()])

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from pmflow.llm import token_counts, tokenizer
-from pmflow.llm.bpe import PieceIds, Pretokens, Vocabulary
+from pmflow.llm.bpe import PieceIds, Pretokens, Vocabulary, token_bytes
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
 JSON = P.path("byte_bpe_50k.json")
@@ -99,3 +99,41 @@ def test_a_worker_drops_what_another_operator_kept(spark):
     assert tokenizer.encode(df, RANKS, P.PATTERN).selectExpr("sum(length(ids)) AS n").first()["n"] > 0
     held = append_columns(df, {"text": F.col("text")}, "held int", lambda: lambda text: [[len(tokenizer._TOOLS)] * len(text)])
     assert held.selectExpr("max(held) AS m").first()["m"] == 0
+
+
+def test_a_worker_holds_a_vocabulary_as_flat_arrays():
+    """pipeline: tokenise took more than an executor's memory; each of its workers held all pairs as Python objects."""
+    import gc
+    import tracemalloc
+    tracemalloc.start()
+    vocab = Vocabulary.from_ranks(RANKS)
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 12 << 20 and len(vocab.made) > 50_000
+
+
+def test_a_batch_is_encoded_by_bounded_groups(rank_library, monkeypatch):
+    """pipeline: the pieces of a whole batch took many times the room of its texts."""
+    rng, at_a_time = random.Random(7), []
+    look_up = PieceIds.of
+
+    def of(self, texts):
+        at_a_time.append(sum(len(p) for t in texts for p in t))
+        return look_up(self, texts)
+    monkeypatch.setattr(PieceIds, "of", of)
+    texts = [None if i % 50 == 0 else " ".join(f"{rng.getrandbits(40):x}" for _ in range(600)) for i in range(200)]
+    got = tokenizer._encode_all(texts, RANKS, P.PATTERN)
+    assert [np.frombuffer(x, "<u4").tolist() for x in got] == [rank_library.encode_ordinary(t or "") for t in texts]
+    assert sum(at_a_time) == sum(len(t or "") for t in texts) and max(at_a_time) < 600_000
+    assert tokenizer._encode_all([], RANKS, P.PATTERN) == []
+
+
+def test_raw_bytes_of_both_kinds_of_vocabulary():
+    """Decoding needs the tokens' bytes alone."""
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    raw = token_bytes(RANKS)
+    assert all(raw[i] == t for t, i in ranks.items()) and len(raw) == max(ranks.values()) + 1
+    library = Tokenizer.from_file(JSON)
+    text = "Hello wörld, 漢字 🙂\n\n x"
+    assert b"".join(map(token_bytes(JSON).__getitem__, library.encode(text, add_special_tokens=False).ids)) == text.encode()
