@@ -36,7 +36,7 @@ class Vocabulary:
         # by rank: the id that the pair becomes; the last stands for NEVER
         self.made = np.full(max(ranks.tolist(), default=0) + 2, -1, np.int32)
         # an open-addressing table of the pairs, looked up for many pairs at a time
-        bits = max(10, (2 * len(keys)).bit_length())
+        bits = max(10, (4 * len(keys)).bit_length())
         self.shift = np.uint64(64 - bits)
         self.slot_key = np.full(1 << bits, -1, np.int64)
         self.slot_rank = np.full(1 << bits, NEVER, np.int32)
