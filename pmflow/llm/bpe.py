@@ -9,6 +9,7 @@ import re
 import sys
 import unicodedata
 from array import array
+from collections.abc import Iterable
 
 import numpy as np
 import regex
@@ -51,6 +52,8 @@ class Vocabulary:
         # the same arrays, read one number at a time
         self._keys, self._ranks, self._made = (memoryview(x) for x in (self.slot_key, self.slot_rank, self.made))
         self._shift, self._mask = 64 - bits, (1 << bits) - 1
+        # the rank of each pair of bytes: (first << 8) | second
+        self.of_bytes = self.look_up(np.repeat(self.of_byte, 256), np.tile(self.of_byte, 256))
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (keys.astype(np.uint64) * np.uint64(SPREAD) >> self.shift).astype(np.int64)
@@ -149,8 +152,12 @@ def _symbol_bytes() -> dict[str, int]:
 
 #: Pieces of more bytes are merged one by one, with a heap.
 LONG = 64
+#: Bits of a place in such a piece, the empty places at both its ends among them.
+PLACE_BITS = 7
 #: Pieces that are merged at a time.
 ROWS = 4096
+#: Unknown pieces that are computed together, repeats among them.
+MISSED = 4 * ROWS
 
 
 def merge_pieces(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
@@ -158,46 +165,66 @@ def merge_pieces(pieces: list[bytes], vocab: Vocabulary) -> list[bytes]:
     the pair of lowest rank, leftmost first. Pieces of like length are merged
     side by side, one merge each in a round."""
     out: list[bytes] = [b""] * len(pieces)
-    order = sorted(range(len(pieces)), key=lambda i: len(pieces[i]))
-    while order and len(pieces[order[-1]]) > LONG:
-        i = order.pop()
+    sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    order = np.argsort(sizes, kind="stable")
+    short = int(np.searchsorted(sizes[order], LONG, side="right"))
+    for i in order[short:].tolist():
         out[i] = np.array(_merge_long(pieces[i], vocab), "<u4").tobytes()
-    for start in range(0, len(order), ROWS):
-        rows = np.array(order[start:start + ROWS])
-        size = np.array([len(pieces[i]) for i in rows])
-        width = int(size[-1]) + 1
-        raw = np.frombuffer(b"".join([pieces[i].ljust(width, b"\0") for i in rows]), np.uint8)
-        ids = vocab.of_byte[raw].reshape(len(rows), width)
-        ids[np.arange(width) >= size[:, None]] = -1
-        # rank[:, i]: of the pair of ids i and i + 1
-        rank = np.full(ids.shape, NEVER, np.int32)
-        inner = np.arange(width) < size[:, None] - 1
-        rank[inner] = vocab.look_up(ids[inner], np.roll(ids, -1, axis=1)[inner])
-        while True:
-            at = rank.argmin(axis=1)
-            more = rank[np.arange(len(rows)), at] != NEVER
-            if not more.all():
-                packed = ids[~more].astype("<u4")
-                for i, n, x in zip(rows[~more].tolist(), size[~more].tolist(), packed):
-                    out[i] = x[:n].tobytes()
-                rows, size, ids, rank, at = (x[more] for x in (rows, size, ids, rank, at))
-                if not len(rows):
-                    break
-            each = np.arange(len(rows))
-            ids[each, at] = vocab.made[rank[each, at]]
-            width, size = ids.shape[1] - 1, size - 1
-            gone = np.ones(ids.shape, bool)
-            gone[each, at + 1] = False
-            ids = ids[gone].reshape(-1, width)  # the right part of the pair goes
-            rank = rank[gone].reshape(-1, width)
-            for i in (at - 1, at):
-                there = (i >= 0) & (i + 1 < size)
-                e, k = each[there], i[there]
-                rank[e, k] = vocab.look_up(ids[e, k], ids[e, k + 1])
-            rank[each, size - 1] = NEVER
+    # ranks that leave no room for a place beside them need 64 bits
+    kind = np.int32 if len(vocab.made) < 1 << 31 - PLACE_BITS else np.int64
+    for start in range(0, short, ROWS):
+        rows = order[start:min(start + ROWS, short)].tolist()
+        for i, x in zip(rows, _merge_rows([pieces[i] for i in rows], vocab, kind)):
+            out[i] = x
     return out
 
 
+def _merge_rows(pieces: list[bytes], vocab: Vocabulary, kind: type) -> list[bytes]:
+    """The merges of some pieces in ascending order of length. A place's row
+    holds that place of all pieces, with an empty one (id -1) before and after
+    the longest; a merge leaves the pair's right place empty, and ``after`` and
+    ``before`` lead past empty places."""
+    n, width = len(pieces), max(len(pieces[-1]), 1) + 2
+    never = np.iinfo(kind).max
+    raw = np.frombuffer(b"".join([x.ljust(width - 2, b"\0") for x in pieces]), np.uint8)
+    raw = np.ascontiguousarray(raw.reshape(n, width - 2).T)
+    sizes = np.fromiter(map(len, pieces), np.int64, n)
+    ids = np.full((width, n), -1, np.int32)
+    ids[1:-1] = vocab.of_byte[raw]
+    ids[1:-1][np.arange(width - 2)[:, None] >= sizes] = -1
+
+    def rated(rank, place):  # rank and place of a pair in one number: the least is the next to merge
+        return np.where(rank == NEVER, never, rank.astype(kind) << PLACE_BITS | place.astype(kind))
+
+    best = np.full(ids.shape, never, kind)
+    places = np.arange(1, width - 2)[:, None]
+    best[1:-2] = rated(vocab.of_bytes[raw[:-1].astype(np.int32) << 8 | raw[1:]], places)
+    best[1:-2][places >= sizes] = never
+    after = np.arange(n, (width + 1) * n)
+    before = np.arange(-n, (width - 1) * n)
+    flat_ids, flat_best, column = ids.reshape(-1), best.reshape(-1), np.arange(n)
+    while True:
+        least = best.min(axis=0)
+        todo = np.flatnonzero(least != never)
+        if not len(todo):
+            break
+        least = least[todo]
+        at = (least & (1 << PLACE_BITS) - 1) * n + column[todo]
+        gone = after[at]
+        right, left = after[gone], before[at]
+        flat_ids[at] = vocab.made[least >> PLACE_BITS]
+        flat_ids[gone], flat_best[gone] = -1, never
+        after[at], before[right] = right, at
+        # an empty place pairs with nothing
+        a, b = np.concatenate([left, at]), np.concatenate([at, right])
+        flat_best[a] = rated(vocab.look_up(flat_ids[a], flat_ids[b]), a // n)
+    ids = ids.T
+    kept = ids >= 0
+    packed = ids[kept].astype("<u4").tobytes()
+    ends = (4 * np.cumsum(kept.sum(axis=1))).tolist()
+    return [packed[x:y] for x, y in zip([0, *ends], ends)]
+
+
 def _merge_long(piece: bytes, vocab: Vocabulary) -> list[int]:
     """One piece of any length: a heap over a linked list, O(n log n)."""
     n, get = len(piece), vocab.pair
@@ -237,17 +264,30 @@ class PieceIds(dict):
         self._make_room()
         self._add([p for p in pieces if p not in self])
 
-    def of(self, texts: list[list[str]]) -> list[list[bytes]]:
-        """The ids of each text's pre-tokens. Only the texts that hold one not
-        known yet are gone through again."""
-        self._make_room()
-        out = [list(map(self.get, t)) for t in texts]
-        short = [i for i, found in enumerate(out) if None in found]
-        self._add(list({p for i in short for p, found in zip(texts[i], out[i]) if found is None}))
-        for i in short:
-            out[i] = list(map(self.__getitem__, texts[i]))
+    def of(self, texts: Iterable[list[str]]) -> list[list[bytes]]:
+        """The ids of each text's pre-tokens. Each is looked up once; only those
+        not known yet are gone back to, some thousands at a time. Of texts that
+        come one by one, the other strings aren't held."""
+        out, get, gaps, missed = [], self.get, [], []
+        for pieces in texts:
+            found = list(map(get, pieces))
+            out.append(found)
+            if at := [i for i, x in enumerate(found) if x is None]:
+                gaps.append((found, at))
+                missed += [pieces[i] for i in at]
+                if len(missed) >= MISSED:
+                    self._fill(gaps, missed)
+                    gaps, missed = [], []
+        self._fill(gaps, missed)
         return out
 
+    def _fill(self, gaps: list[tuple[list, list[int]]], missed: list[str]) -> None:
+        self.learn(set(missed))
+        made = map(self.__getitem__, missed)
+        for found, at in gaps:
+            for i, x in zip(at, made):
+                found[i] = x
+
     def _make_room(self) -> None:
         if self.held > CACHE_BYTES:
             self.clear()

@@ -163,7 +163,7 @@ def write_shards(docs: DataFrame, path: str, vocabulary: str, pattern: str, end:
             size -= pc.sum(pc.binary_length(b.column(1))).as_py() or 0
             rows -= len(keys)
             coded, at = [], len(held)
-            for k, own in zip(keys, map(b"".join, ids.of([split.split(t) for t in texts]))):
+            for k, own in zip(keys, map(b"".join, ids.of(map(split.split, texts)))):
                 coded += [own, end_token]
                 n = len(own) // 4 + 1
                 spans.append({"doc_id": k, "start": 0, "at": at, "n": n})

@@ -11,7 +11,7 @@ import tiktoken
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from pmflow.llm import token_counts, tokenizer
+from pmflow.llm import bpe, token_counts, tokenizer
 from pmflow.llm.bpe import PieceIds, Pretokens, Vocabulary, token_bytes
 
 RANKS = P.path("byte_bpe_multi_50k.tiktoken")
@@ -92,6 +92,46 @@ def test_pieces_of_many_texts_are_looked_up_once():
     assert ids.of(texts) == want and ids.of([]) == [] and ids.of([[]]) == [[]]
 
 
+def test_only_unknown_pieces_are_gone_back_to():
+    """op6: 413 CPU seconds a GB; a text with one new piece was looked up twice as a whole."""
+    vocab, looked_up = Vocabulary.from_ranks(RANKS), []
+
+    class Counted(PieceIds):
+        def __getitem__(self, piece):
+            looked_up.append(piece)
+            return super().__getitem__(piece)
+
+    ids, alone = Counted(vocab), PieceIds(vocab)
+    ids.learn({" known", " words"})
+    texts = [[" known", " words"] * 500 + [f" new{i}"] + [" known"] * 500 for i in range(40)]
+    assert ids.of(iter(texts)) == [[alone[p] for p in t] for t in texts]
+    assert sorted(looked_up) == sorted(f" new{i}" for i in range(40))
+
+
+def test_many_unknown_pieces_and_a_full_cache(monkeypatch):
+    """op6: pieces are computed some at a time; a cache that starts anew between them loses none."""
+    monkeypatch.setattr(bpe, "MISSED", 50)
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 4000)
+    vocab, rng = Vocabulary.from_ranks(RANKS), random.Random(3)
+    ids, alone = PieceIds(vocab), PieceIds(vocab)
+    texts = [[f" w{rng.randrange(300)}" for _ in range(rng.randrange(40))] for _ in range(200)]
+    assert ids.of(texts) == [[alone[p] for p in t] for t in texts]
+
+
+def test_pieces_merged_side_by_side_equal_those_merged_alone(monkeypatch):
+    """op6: places of a merge's pieces lie side by side; lengths around the bounds, bytes of all kinds."""
+    rng = random.Random(11)
+    pieces = [bytes(rng.choice(b"aethins \xc3\xa9\x00\xff'") for _ in range(n)) for n in (*range(70), 200) for _ in range(3)]
+    for vocab in (Vocabulary.from_ranks(RANKS), Vocabulary.from_merges(JSON)):
+        want = [np.array(bpe._merge_long(p, vocab), "<u4").tobytes() for p in pieces]
+        for rows in (1, 7, 4096):
+            monkeypatch.setattr(bpe, "ROWS", rows)
+            assert bpe.merge_pieces(pieces, vocab) == want
+            assert bpe.merge_pieces([b""], vocab) == [b""] and bpe.merge_pieces([], vocab) == []
+        packed = bpe._merge_rows(sorted(pieces, key=len)[:-3], vocab, np.int64)  # ranks beyond 32 bits with a place
+        assert packed == [w for _, w in sorted(zip(pieces, want), key=lambda x: len(x[0]))[:-3]]
+
+
 def test_a_worker_drops_what_another_operator_kept(spark):
     """pipeline: vocabulary and pieces don't stay beside the next stage's own."""
     from pmflow.llm.common import append_columns
