@@ -16,9 +16,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from pmflow.functions.exprs import USDC_ASSET, amount_text, iso_to_unix, parse_amount, scaled_double, with_exact_ratio
+from pmflow.functions.exprs import AMOUNT_SCALE, USDC_ASSET, amount_text, iso_to_unix, parse_amount, with_exact_ratio
 from pmflow.operators.merge import insert_if_absent, pick_per_key, total_order
+from pmflow.plans import tables as tb
 
 FACT_COLUMNS = ["ts_unix", "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
                 "taker_direction", "price", "usd_amount", "token_amount", "transaction_hash",
@@ -114,35 +116,26 @@ def _price() -> tuple[Column, Column]:
 
 def _with_own_columns(t: DataFrame) -> DataFrame:
     """What a trade says by itself, before any join: its asset, the first reason
-    of its own to reject it, and its numbers as facts have them. So the joins
-    carry those of them that are asked for, not the texts and decimals behind them."""
+    of its own to reject it, and its two numbers. So the joins carry those of them that
+    are asked for, not the texts and decimals behind them."""
     t = _with_amounts(t)
     denom, price = _price()
     taker_usdc = F.col("taker_asset_id") == USDC_ASSET
     own = (F.when((F.col("maker") == "") | (F.col("taker") == "") | (F.col("transaction_hash") == ""), "empty_field")
            .when(F.col("_ma").isNull() | F.col("_ta").isNull(), "bad_amount")
            .when(denom == 0, "zero_denominator").when(price <= 0, "non_positive_price"))
+    usd, token = F.when(taker_usdc, F.col("_ta")).otherwise(F.col("_ma")), F.when(
+        taker_usdc, F.col("_ma")).otherwise(F.col("_ta"))
     return t.withColumns({
         "asset_id": asset_id(), "_own": own, "_taker_usdc": taker_usdc, "_maker_usdc": F.col("maker_asset_id") == USDC_ASSET,
-        "price": F.when(denom != 0, price),
-        "usd_amount": scaled_double(F.when(taker_usdc, F.col("_ta")).otherwise(F.col("_ma"))),
-        "token_amount": scaled_double(F.when(taker_usdc, F.col("_ma")).otherwise(F.col("_ta")))})
+        "_usd": usd.cast("double"), "_token": token.cast("double")})
 
 
-def _derive(t: DataFrame, ts: Column) -> DataFrame:
-    """P15 of the keyed form: side, directions, amounts and price."""
-    taker_usdc = F.col("taker_asset_id") == USDC_ASSET
-    maker_usdc = F.col("maker_asset_id") == USDC_ASSET
-    denom, price = _price()
-    return t.select(
-        "*",
-        ts.alias("ts_unix"),
-        F.when(taker_usdc, "BUY").otherwise("SELL").alias("taker_direction"),
-        F.when(taker_usdc, "SELL").otherwise("BUY").alias("maker_direction"),
-        F.when(maker_usdc & taker_usdc, "USDC").otherwise(F.col("side")).alias("nonusdc_side"),
-        F.when(denom != 0, price).alias("price"),
-        F.when(taker_usdc, F.col("_ta")).otherwise(F.col("_ma")).alias("usd_raw"),
-        F.when(taker_usdc, F.col("_ma")).otherwise(F.col("_ta")).alias("token_raw"))
+def _numbers() -> dict[str, Column]:
+    """A fact's numbers from the two that the joins carry: either side's price is usd over tokens."""
+    usd, token = F.col("_usd"), F.col("_token")
+    return {"price": F.when(token != 0, usd / token), "usd_amount": usd / F.lit(float(AMOUNT_SCALE)),
+            "token_amount": token / F.lit(float(AMOUNT_SCALE))}
 
 
 def asset_id() -> Column:
@@ -150,11 +143,6 @@ def asset_id() -> Column:
     return F.when(F.col("maker_asset_id") != USDC_ASSET, F.col("maker_asset_id")).otherwise(F.col("taker_asset_id"))
 
 
-def _lookup_asset(t: DataFrame, tokens: DataFrame) -> DataFrame:
-    t = t.withColumn("asset_id", asset_id())
-    return t.join(tokens.select("asset_id", "market_id", "side"), "asset_id", "left")
-
-
 def resolve_block_times(trades: DataFrame, blocks: DataFrame, mode: str = "exact", *,
                         bucket_size: int | None = None) -> DataFrame:
     """Block time per trade block. 'exact': the sampled blocks as they are (the
@@ -191,7 +179,7 @@ def _judged(t: DataFrame) -> DataFrame:
         F.when(F.col("_taker_usdc"), "BUY").otherwise("SELL").alias("taker_direction"),
         F.when(F.col("_taker_usdc"), "SELL").otherwise("BUY").alias("maker_direction"),
         F.when(F.col("_maker_usdc") & F.col("_taker_usdc"), "USDC").otherwise(F.col("side")).alias("nonusdc_side"),
-        reason.alias("reject_reason"))
+        *[c.alias(n) for n, c in _numbers().items()], reason.alias("reject_reason"))
 
 
 def classify_timed(timed: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -240,8 +228,7 @@ def build_fact_trades(trades: DataFrame, blocks: DataFrame, tokens: DataFrame, *
     else:
         times = blocks.select("block_number", F.col("ts_unix").alias("_ts"))
         timed = _with_own_columns(normalized_raw(trades).join(times, "block_number", "left")).drop("_ma", "_ta")
-        timed.write.option("compression", "zstd").parquet(path)
-        c = classify_timed(timed.sparkSession.read.schema(timed.schema).parquet(path), tokens)
+        c = classify_timed(_stored(timed, path), tokens)
     facts = fact_projection(accepted(c))
     if dedupe:
         facts = dedupe_facts(facts)
@@ -285,29 +272,37 @@ def reject_counts(rejects: DataFrame) -> DataFrame:
 
 
 def build_staging(trades: DataFrame, blocks: DataFrame, existing: DataFrame | None = None, *,
-                  order: Sequence[str] | None = None) -> DataFrame:
+                  order: Sequence[str] | None = None, path: str | None = None) -> DataFrame:
     """Staged order fills. Unresolved block time -> 0; rows with an empty
     maker, taker or tx hash dropped; amounts kept as text; insert-if-absent on
     the staging key, first writer wins.
 
     The writer order travels along as the struct column ``ingest_order`` (the
-    reference's serial id), so the keyed step can keep "first wins".
+    reference's serial id), so the keyed step can keep "first wins". With ``path``
+    the trades with their block times and the staged fills are written there.
     """
     t = normalized_raw(trades)
     t = t.join(blocks.select("block_number", "ts_unix"), "block_number", "left")
     t = t.filter((F.col("maker") != "") & (F.col("taker") != "") & (F.col("transaction_hash") != ""))
     if order is None:
         order = _order_of(t, total_order(t.drop("ts_unix"), ["block_number", "log_index"]))
-    staged = t.select(
-        F.coalesce("ts_unix", F.lit(0)).alias("timestamp_i64"), "maker", "maker_asset_id",
-        F.col("maker_amount").alias("maker_amount_filled"), "taker", "taker_asset_id",
-        F.col("taker_amount").alias("taker_amount_filled"), "transaction_hash",
+    t = t.withColumn("timestamp_i64", F.coalesce("ts_unix", F.lit(0)))
+    # what is shuffled and sorted has each column once: the order's columns that are in the key tell nothing apart
+    own = [o for o in order if o not in STAGING_KEY]
+    t = t.select(*dict.fromkeys([*STAGING_KEY, *own, "maker_amount", "taker_amount"]))
+    if path is not None:
+        t = _stored(t, f"{path}/timed")
+    t = insert_if_absent(existing, t, STAGING_KEY, own)
+    if path is not None:
+        t = _stored(t, f"{path}/staged", f"{path}/timed")
+    return t.select(
+        "timestamp_i64", "maker", "maker_asset_id", F.col("maker_amount").alias("maker_amount_filled"), "taker",
+        "taker_asset_id", F.col("taker_amount").alias("taker_amount_filled"), "transaction_hash",
         F.struct(*[F.col(o) for o in order]).alias("ingest_order"))
-    return insert_if_absent(existing, staged, STAGING_KEY, ["ingest_order"])
 
 
 def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: DataFrame | None = None, *,
-                            source: str = "batch_pipeline") -> DataFrame:
+                            source: str = "batch_pipeline", path: str | None = None) -> DataFrame:
     """Relational facts from staged fills (``timestamp_i64`` resolved,
     ``ingest_order`` = insertion order).
 
@@ -315,44 +310,74 @@ def build_fact_trades_keyed(staged: DataFrame, tokens: DataFrame, existing: Data
     kept, exact DECIMAL amounts, and insert-if-absent on
     (transaction_hash, maker, taker, ts) with the first staged row winning.
     """
-    t = staged.select(
-        F.col("timestamp_i64").alias("_ts_in"), "maker", "taker", "transaction_hash",
-        "maker_asset_id", "taker_asset_id",
-        F.col("maker_amount_filled").alias("maker_amount"), F.col("taker_amount_filled").alias("taker_amount"),
-        "ingest_order")
-    t = _lookup_asset(_with_amounts(t), tokens)
-    d = _derive(t, F.col("_ts_in"))
+    of = staged.schema["ingest_order"].dataType
+    have = {"maker": "maker", "taker": "taker", "transaction_hash": "transaction_hash", "maker_asset_id": "maker_asset_id",
+            "taker_asset_id": "taker_asset_id", "maker_amount_filled": "maker_amount", "taker_amount_filled": "taker_amount"}
+    cols = {n: F.col(c) for c, n in have.items()}
+    # the order's fields one by one; those that a staged fill has as columns, as these
+    fields = of.names if isinstance(of, StructType) else [None]
+    order = [f if f in cols else f"_o{i}" for i, f in enumerate(fields)]
+    cols |= {o: F.col("ingest_order") if f is None else F.col("ingest_order").getField(f)
+             for o, f in zip(order, fields) if o not in cols}
+    t = staged.select(F.col("timestamp_i64").alias("ts_unix"), *[c.alias(n) for n, c in cols.items()])
+    return _keyed(t, order, tokens, existing, source, path)
+
+
+def _keyed(t: DataFrame, order: Sequence[str], tokens: DataFrame, existing: DataFrame | None, source: str,
+           path: str | None = None) -> DataFrame:
+    """Keyed facts of timed fills, whose first one per key is told by the
+    columns ``order``. Until it is, each column is carried once and nothing that
+    follows from others: amounts as their texts, parsed before the join for
+    whether they are any, and again for the rows that stay. With ``path`` the
+    fills with their markets are written there."""
+    denom, _ = _price()
+    valid = F.col("_ma").isNotNull() & F.col("_ta").isNotNull() & F.coalesce(denom != 0, F.lit(False))
+    t = _with_amounts(t).withColumns({"_valid": valid, "asset_id": asset_id()}).drop("_ma", "_ta")
+    t = t.join(tokens.select("asset_id", "market_id", "side"), "asset_id", "left")
     # one CASE over both join sides: Catalyst cannot split it into conjuncts and
     # push the amount checks below the token join (which would re-run the parse)
-    keep = F.when(F.col("market_id").isNull(), F.lit(False)).otherwise(
-        F.col("_ma").isNotNull() & F.col("_ta").isNotNull() & F.col("price").isNotNull())
-    ok = d.filter(keep)
-    facts = ok.select(
-        F.col("_ts_in").alias("ts_unix"), "market_id", "maker", "taker", "nonusdc_side", "maker_direction",
-        "taker_direction", F.col("usd_raw").cast("decimal(38,0)").alias("_usd"),
-        F.col("token_raw").cast("decimal(38,0)").alias("_token"),
-        "transaction_hash", F.lit(source).alias("source"), "ingest_order")
-    out = insert_if_absent(existing, facts, KEYED_KEY, ["ingest_order"])
-    # exact amounts and price, of the rows that stay; either side's price is usd over tokens
+    t = t.filter(F.when(F.col("market_id").isNull(), F.lit(False)).otherwise(F.col("_valid"))).drop("asset_id", "_valid")
+    if path is not None:
+        t = _stored(t, f"{path}/found", f"{path}/timed")
+    t = insert_if_absent(existing, t, KEYED_KEY, [o for o in order if o not in KEYED_KEY])
+    taker_usdc, maker_usdc = F.col("taker_asset_id") == USDC_ASSET, F.col("maker_asset_id") == USDC_ASSET
+    out = _with_amounts(t).select(
+        "ts_unix", "market_id", "maker", "taker", "transaction_hash", F.lit(source).alias("source"),
+        F.when(taker_usdc, "BUY").otherwise("SELL").alias("taker_direction"),
+        F.when(taker_usdc, "SELL").otherwise("BUY").alias("maker_direction"),
+        F.when(maker_usdc & taker_usdc, "USDC").otherwise(F.col("side")).alias("nonusdc_side"),
+        F.when(taker_usdc, F.col("_ta")).otherwise(F.col("_ma")).cast("decimal(38,0)").alias("_usd"),
+        F.when(taker_usdc, F.col("_ma")).otherwise(F.col("_ta")).cast("decimal(38,0)").alias("_token"))
+    # exact amounts and price; either side's price is usd over tokens
     scaled = [(F.col(c) / F.lit(1_000_000)).cast("decimal(38,12)").alias(n)
               for c, n in (("_usd", "usd_amount"), ("_token", "token_amount"))]
     out = with_exact_ratio(out, "_usd", "_token", "price_text").select("*", *scaled)
     return out.withColumn("price", F.col("price_text").try_cast("decimal(38,28)")).select(*KEYED_COLUMNS)
 
 
+def _stored(rows: DataFrame, path: str, used: str | None = None) -> DataFrame:
+    """Rows written and read back: what it took to make them is over, its shuffles
+    can go, and so can ``used``, a folder of its own making that only they were read from."""
+    rows.write.option("compression", "zstd").parquet(path)
+    if used is not None:
+        tb.remove(rows.sparkSession, used)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def build_fact_trades_direct(trades: DataFrame, blocks: DataFrame, tokens: DataFrame,
-                             existing: DataFrame | None = None) -> DataFrame:
+                             existing: DataFrame | None = None, *, path: str | None = None) -> DataFrame:
     """Relational facts straight from raw trades: inner block join (drop
-    unresolved), empty fields dropped, no price <= 0 test, key dedupe."""
+    unresolved), empty fields dropped, no price <= 0 test, key dedupe. With
+    ``path`` each join's trades are written there before the next step shuffles them."""
     t = normalized_raw(trades)
     t = t.join(blocks.select("block_number", "ts_unix"), "block_number", "inner").filter(F.col("ts_unix") > 0)
     t = t.filter((F.col("maker") != "") & (F.col("taker") != "") & (F.col("transaction_hash") != ""))
     order = _order_of(t, total_order(t.drop("ts_unix"), ["block_number", "log_index"]))
-    staged = t.select(F.col("ts_unix").alias("timestamp_i64"), "maker", "maker_asset_id",
-                      F.col("maker_amount").alias("maker_amount_filled"), "taker", "taker_asset_id",
-                      F.col("taker_amount").alias("taker_amount_filled"), "transaction_hash",
-                      F.struct(*[F.col(o) for o in order]).alias("ingest_order"))
-    return build_fact_trades_keyed(staged, tokens, existing)
+    carried = [*KEYED_KEY, "maker_asset_id", "taker_asset_id", "maker_amount", "taker_amount", *order]
+    t = t.select(*dict.fromkeys(carried))
+    if path is not None:
+        t = _stored(t, f"{path}/timed")
+    return _keyed(t, order, tokens, existing, "batch_pipeline", path)
 
 
 def next_id_batch(df: DataFrame, last_id: int, limit: int = 50_000, id_col: str = "id",

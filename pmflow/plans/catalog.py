@@ -355,7 +355,7 @@ def _keyed_out(keyed: DataFrame) -> DataFrame:
   WHERE bt.ts_unix > 0 AND maker <> '' AND taker <> '' AND transaction_hash <> '')""", _keyed_sql("direct")]))
 def q_fact_trades_keyed(spark, sf_dir):
     t, bt, tm = _inputs(spark, sf_dir)
-    return _keyed_out(tr.build_fact_trades_direct(t.fx_trades, bt, tm))
+    return _keyed_out(tr.build_fact_trades_direct(t.fx_trades, bt, tm, path=scratch_path(spark, "keyed")))
 
 
 @query("fact_trades_staged", oracle(

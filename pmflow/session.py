@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Settings every job relies on: UTC for all date logic, AQE with skew-join
 # splitting for hot wallets / hot blocks, dynamic partition overwrite for
 # idempotent per-file rewrites.
@@ -17,6 +19,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # a command's shuffle files go when it ends, not when the driver happens to collect its garbage
+    CLEANUP: "true",
     "spark.ui.enabled": "false",
     # streaming state (running daily totals) in RocksDB, off-heap and checkpointed incrementally
     "spark.sql.streaming.stateStore.providerClass":
@@ -41,11 +45,13 @@ def get_spark(master: str | None = None, app: str = "pmflow", shuffle_partitions
     return spark
 
 
-def apply_session_defaults(spark: SparkSession) -> None:
-    """Set the runtime-settable defaults on an existing session."""
+def apply_session_defaults(spark: SparkSession, *, cleanup: bool = True) -> None:
+    """Set the runtime-settable defaults on an existing session. ``cleanup``: whether
+    a command's shuffle files go with it; who runs one plan twice would make them again."""
     for k in ("spark.sql.session.timeZone", "spark.sql.sources.partitionOverwriteMode",
               "spark.sql.adaptive.skewJoin.enabled"):
         spark.conf.set(k, DEFAULT_CONF[k])
+    spark.conf.set(CLEANUP, str(cleanup).lower())
 
 
 def checkpoint_root(spark: SparkSession) -> str:
