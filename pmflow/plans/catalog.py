@@ -370,7 +370,8 @@ def q_fact_trades_keyed(spark, sf_dir):
 def q_fact_trades_staged(spark, sf_dir):
     """D4 then D5: the staged path (unresolved block time kept as 0)."""
     t, bt, tm = _inputs(spark, sf_dir)
-    return _keyed_out(tr.build_fact_trades_keyed(tr.build_staging(t.fx_trades, bt), tm))
+    staged = tr.build_staging(t.fx_trades, bt, path=scratch_path(spark, "staging"))
+    return _keyed_out(tr.build_fact_trades_keyed(staged, tm, path=scratch_path(spark, "keyed")))
 
 
 # ----------------------------------------------------------------- wallets
